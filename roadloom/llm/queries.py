@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadloom.llm import groups, splits
+from roadloom.llm import groups, spans, splits
 from roadloom.plans.data_queries import PLACED, READS_ID
 
 
@@ -16,7 +16,11 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return splits.way_pieces(spark.read.parquet(f"{sf}/osm_way.parquet"), spark.read.parquet(f"{sf}/osm_node.parquet"))
 
 
-QUERIES = {"p1_found": p1_found, "p5_found": p5_found}
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return spans.shared_chars(spark.read.parquet(f"{sf}/documents.parquet"))
+
+
+QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p8_found": p8_found}
 
 _OTHER = "case when connecting_road is null or trim(connecting_road, ' \t\n\r') = '' then linked_road else connecting_road end"
 SQL = {
@@ -51,4 +55,9 @@ run as (
   where r.en < (select max(n) from t q where q.map_id = r.map_id and q.way_id = r.way_id))
 select r.map_id, r.way_id, cast(r.piece as int) as piece, cast(a.pos as int) as first_pos, cast(b.pos as int) as last_pos
 from run r join t a on a.map_id = r.map_id and a.way_id = r.way_id and a.k = r.st join t b on b.map_id = r.map_id and b.way_id = r.way_id and b.k = r.en""",
+    "p8_found": """with d as (select doc_id, text, len(text) as n from documents where len(text) >= 200),
+w as (select doc_id, i, md5_number(substr(text, i, 200)) as k from (select *, unnest(range(1, n - 198)) as i from d)),
+s as (select k from w group by k having min(doc_id) < max(doc_id)),
+g as (select doc_id, least(200, coalesce(lead(i) over (partition by doc_id order by i) - i, 200)) as c from w join s using (k))
+select doc_id, cast(sum(c) as bigint) as shared_chars from g group by doc_id""",
 }
