@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadloom.llm import groups, spans, splits
+from roadloom.llm import groups, leaks, spans, splits
 from roadloom.plans.data_queries import PLACED, READS_ID
 
 
@@ -16,11 +16,15 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return splits.way_pieces(spark.read.parquet(f"{sf}/osm_way.parquet"), spark.read.parquet(f"{sf}/osm_node.parquet"))
 
 
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return leaks.leaked_items(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/eval_item.parquet")).select("doc_id", "item_id")
+
+
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return spans.shared_chars(spark.read.parquet(f"{sf}/documents.parquet"))
 
 
-QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p8_found": p8_found}
+QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p7_found": p7_found, "p8_found": p8_found}
 
 _OTHER = "case when connecting_road is null or trim(connecting_road, ' \t\n\r') = '' then linked_road else connecting_road end"
 SQL = {
@@ -55,6 +59,11 @@ run as (
   where r.en < (select max(n) from t q where q.map_id = r.map_id and q.way_id = r.way_id))
 select r.map_id, r.way_id, cast(r.piece as int) as piece, cast(a.pos as int) as first_pos, cast(b.pos as int) as last_pos
 from run r join t a on a.map_id = r.map_id and a.way_id = r.way_id and a.k = r.st join t b on b.map_id = r.map_id and b.way_id = r.way_id and b.k = r.en""",
+    "p7_found": """with t as (
+  select doc_id as id, false as item, regexp_extract_all(text, '[A-Za-z0-9_]+') as w from documents
+  union all select item_id, true, regexp_extract_all(item_text, '[A-Za-z0-9_]+') from eval_item),
+g as (select distinct id, item, lower(array_to_string(w[i:i + 11], ' ')) as p from (select *, unnest(range(1, len(w) - 10)) as i from t where len(w) >= 12))
+select distinct d.id as doc_id, e.id as item_id from g d join g e on d.p = e.p and not d.item and e.item""",
     "p8_found": """with d as (select doc_id, text, len(text) as n from documents where len(text) >= 200),
 w as (select doc_id, i, md5_number(substr(text, i, 200)) as k from (select *, unnest(range(1, n - 198)) as i from d)),
 s as (select k from w group by k having min(doc_id) < max(doc_id)),
