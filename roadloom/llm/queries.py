@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadloom.llm import groups, leaks, spans, splits
+from roadloom.llm import groups, leaks, packing, spans, splits
 from roadloom.plans.data_queries import PLACED, READS_ID
 
 
@@ -16,6 +16,10 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return splits.way_pieces(spark.read.parquet(f"{sf}/osm_way.parquet"), spark.read.parquet(f"{sf}/osm_node.parquet"))
 
 
+def p6_pack(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_documents(spark.read.parquet(f"{sf}/documents.parquet"))
+
+
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return leaks.leaked_items(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/eval_item.parquet")).select("doc_id", "item_id")
 
@@ -24,7 +28,7 @@ def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return spans.shared_chars(spark.read.parquet(f"{sf}/documents.parquet"))
 
 
-QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p7_found": p7_found, "p8_found": p8_found}
+QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p6_pack": p6_pack, "p7_found": p7_found, "p8_found": p8_found}
 
 _OTHER = "case when connecting_road is null or trim(connecting_road, ' \t\n\r') = '' then linked_road else connecting_road end"
 SQL = {
