@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from roadloom.plans import data_queries
+from roadloom.plans import data_queries, map_queries
 
-FLAGSHIP = "p2_found"
-QUERIES = {**data_queries.QUERIES}
-SQL = {**data_queries.SQL}
+_GROUPS = (data_queries, map_queries)
+FLAGSHIP = "check_vm_01_24"
+QUERIES = {k: v for g in _GROUPS for k, v in g.QUERIES.items()}
+SQL = {k: v for g in _GROUPS for k, v in g.SQL.items()}
