@@ -12,7 +12,7 @@ Tables and their columns (ids of any one type; extra columns are kept or ignored
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from roadloom import model as M
 from roadloom.functions import polyline as P
+from roadloom.storage import Scratch
 
 MAP = "map_id"
 
@@ -73,6 +74,10 @@ class MapTables:
     relation: DataFrame
     member: DataFrame
 
+    def saved(self, store: Scratch, name: str) -> MapTables:
+        """The same tables written to the shared folder, so that what follows starts from files."""
+        return MapTables(*[store.save(getattr(self, f.name), f"{name}-{f.name}") for f in fields(self)])
+
     @cached_property
     def maps(self) -> DataFrame:
         return self.node.select(MAP).union(self.way.select(MAP)).union(self.relation.select(MAP)).distinct()
