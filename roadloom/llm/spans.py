@@ -78,7 +78,7 @@ def _anchor_rows(span: int, width: int):
     return run
 
 
-def _window_keys(texts: list[str], counts: np.ndarray, anchor: np.ndarray, span: int, width: int) -> tuple[np.ndarray, ...]:
+def _window_keys(texts: list[str], counts: np.ndarray, span: int) -> tuple[np.ndarray, ...]:
     """(context number, window number, window hash) of all windows of contexts. Equal windows of one anchor hold it at
     equal places, so the window's text alone decides."""
     points, bounds = code_points(texts)
@@ -93,7 +93,6 @@ def _match(span: int, width: int):
     for anchors that are split over salts, the windows left open."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["anchor", "salt", "split", "doc_lo", "doc_hi", "lo", "n", "text"]
         held: list[pa.RecordBatch] = []
         for batch in batches:
             held.append(batch)
@@ -116,8 +115,16 @@ def _matched(table: pa.Table, span: int, width: int) -> Iterator[pa.RecordBatch]
     if not table.num_rows:
         return
     with np.errstate(over="ignore"):
+        texts, n = table["text"].to_pylist(), table["n"].to_numpy()
+        # a document given under one id with several texts meets each; only the text that the context is from counts
+        points, bounds = code_points(texts)
+        at, first, last, _, context = anchors(points, bounds, span, width)
+        same = (first == bounds[at]) & (last - first + 1 == n[at]) & (context.view(np.int64) == table["context"].to_numpy()[at])
+        table = table.take(pa.array(np.unique(at[same])))
+        if not table.num_rows:
+            return
         anchor, split, lo_doc, hi_doc, lo, n = (table[c].to_numpy() for c in ("anchor", "split", "doc_lo", "doc_hi", "lo", "n"))
-        of, k, key = _window_keys(table["text"].to_pylist(), n, anchor, span, width)
+        of, k, key = _window_keys(table["text"].to_pylist(), n, span)
         key = mix(key ^ mix(anchor.view(np.uint64))[of])
         order = np.argsort(key, kind="stable")
         sorted_key = key[order]
@@ -131,22 +138,28 @@ def _matched(table: pa.Table, span: int, width: int) -> Iterator[pa.RecordBatch]
         if len(run):
             new = np.r_[True, (run[1:] != run[:-1] + 1) | (of[run[1:]] != of[run[:-1]])]
             first, last = run[new], run[np.r_[np.flatnonzero(new)[1:] - 1, len(run) - 1]]
-            yield _spans(lo_doc[of[first]], lo[of[first]] + k[first], lo[of[last]] + k[last] + span, None, None)
+            yield _spans(table, of[first], lo[of[first]] + k[first], lo[of[last]] + k[last] + span)
         if split.any():
             tell = split[of]
             unsettled = np.flatnonzero(tell & ~shared & single[of])
             offered = head[np.flatnonzero(np.isin(np.arange(len(head)), group[tell]))]
             g = group[order[offered]]
-            yield _spans(least[g], np.full(len(g), -1), np.full(len(g), -1), sorted_key[offered], most[g])
-            yield _spans(lo_doc[of[unsettled]], lo[of[unsettled]] + k[unsettled], lo[of[unsettled]] + k[unsettled] + span, key[unsettled], None)
+            none = np.full(len(g), -1)
+            yield _spans(table, of[order[offered]], none, none, sorted_key[offered], least[g], most[g])
+            begin = lo[of[unsettled]] + k[unsettled]
+            yield _spans(table, of[unsettled], begin, begin + span, key[unsettled])
 
 
-def _spans(doc, start, end, key, other) -> pa.RecordBatch:
-    n = len(doc)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(doc), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.nulls(n, pa.int64()) if key is None else pa.array(key.view(np.int64)), pa.nulls(n, pa.int64()) if other is None else pa.array(other)],
-        ["doc_id", "start", "end", "key", "other"],
-    )
+MATCHED = "doc_id bigint, start int, end int, key bigint, other bigint, anchor bigint, context bigint, lo int, again boolean"
+
+
+def _spans(table: pa.Table, of: np.ndarray, start: np.ndarray, end: np.ndarray, key=None, doc=None, other=None) -> pa.RecordBatch:
+    """Stretches of the contexts numbered ``of``, or with ``doc`` and ``other`` the documents that offer a window."""
+    n = len(of)
+    maybe = lambda x: pa.nulls(n, pa.int64()) if x is None else pa.array(x.view(np.int64))
+    take = lambda c: table[c].combine_chunks().take(pa.array(of))
+    cols = [take("doc_lo") if doc is None else pa.array(doc), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), maybe(key), maybe(other)]
+    return pa.RecordBatch.from_arrays([*cols, take("anchor"), take("context"), take("lo"), take("again")], ["doc_id", "start", "end", "key", "other", "anchor", "context", "lo", "again"])
 
 
 def shared_spans(documents: DataFrame, span: int = SPAN, width: int = ANCHOR, group: int = GROUP) -> DataFrame:
@@ -163,8 +176,8 @@ def shared_spans(documents: DataFrame, span: int = SPAN, width: int = ANCHOR, gr
        windows still open there meet through an aggregate by hash.
 
     Equality is by hashes of anchor and window together, 128 bits. Null and short texts share nothing; a passage
-    repeated only inside one document is not shared; documents given twice under one id count as one; null ids are
-    left out; other columns are ignored.
+    repeated only inside one document is not shared; rows under one id count as one document, whose stretches in several
+    texts are united by place; null ids are left out; other columns are ignored.
     """
     if not 0 < width < span <= 4096:
         raise ValueError("an anchor must be shorter than the span, and the span at most 4096")
@@ -174,23 +187,26 @@ def shared_spans(documents: DataFrame, span: int = SPAN, width: int = ANCHOR, gr
     common = every.groupBy("anchor").agg(F.min("doc_id").alias("_a"), F.max("doc_id").alias("_b")).where("_a < _b").select("anchor")
     near = store.save(every.join(common, "anchor", "left_semi"), "near")
     store.drop("anchors")
-    context = near.groupBy("anchor", "context").agg(F.min(F.struct("doc_id", "lo", "n")).alias("_at"), F.max("doc_id").alias("doc_hi"))
-    context = store.save(context.select("anchor", "context", F.col("_at.doc_id").alias("doc_lo"), "doc_hi", "_at.lo", "_at.n"), "contexts")
+    context = near.groupBy("anchor", "context").agg(F.min(F.struct("doc_id", "lo", "n")).alias("_at"), F.max("doc_id").alias("doc_hi"), (F.count("*") > 1).alias("again"))
+    context = store.save(context.select("anchor", "context", F.col("_at.doc_id").alias("doc_lo"), "doc_hi", "_at.lo", "_at.n", "again"), "contexts")
     held = context.where("doc_lo < doc_hi").select("anchor", "context", F.lit(True).alias("whole"))
     whole = relay_join(near, held, ["anchor", "context"], F.col("doc_id")).where("whole").select("doc_id", F.col("lo").alias("start"), (F.col("lo") + F.col("n") - 1 + span).alias("end"))
     # only anchors with an open context need their texts
     sizes = context.groupBy("anchor").agg(F.count("*").alias("size"), F.max(F.expr("doc_lo = doc_hi")).alias("open")).where("open and size > 1").drop("open")
     open_ = relay_join(context, sizes, ["anchor"], F.col("context")).where("size is not null")
     parts = F.ceil(F.col("size") / F.lit(group))
-    open_ = open_.select("anchor", F.when(parts > 1, F.pmod(F.xxhash64("context"), parts)).otherwise(0).cast("int").alias("salt"), (parts > 1).alias("split"), "doc_lo", "doc_hi", "lo", "n")
+    open_ = open_.select("anchor", "context", F.when(parts > 1, F.pmod(F.xxhash64("context"), parts)).otherwise(0).cast("int").alias("salt"), (parts > 1).alias("split"), "doc_lo", "doc_hi", "lo", "n", "again")
     texts = docs.withColumnRenamed("doc_id", "doc_lo")
     found = open_.join(texts, "doc_lo").withColumn("text", F.expr(f"substring(text, lo + 1, n + {span - 1})"))
-    found = found.select("anchor", "salt", "split", "doc_lo", "doc_hi", "lo", "n", "text").repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
-    found = store.save(found.mapInArrow(_match(span, width), "doc_id bigint, start int, end int, key bigint, other bigint"), "matched")
-    settled = found.where("key is null").select("doc_id", "start", "end")
+    found = found.select("anchor", "context", "salt", "split", "doc_lo", "doc_hi", "lo", "n", "again", "text").repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
+    found = store.save(found.mapInArrow(_match(span, width), MATCHED), "matched")
     offers = found.where("start < 0").groupBy("key").agg(F.min("doc_id").alias("_a"), F.max("other").alias("_b")).where("_a < _b").select("key", F.lit(True).alias("hit"))
-    late = relay_join(found.where("start >= 0 and key is not null"), offers, ["key"], F.struct("doc_id", "start")).where("hit").select("doc_id", "start", "end")
-    return whole.unionByName(settled).unionByName(late)
+    late = relay_join(found.where("start >= 0 and key is not null"), offers, ["key"], F.struct("doc_id", "start")).where("hit")
+    settled = found.where("key is null").unionByName(late.select(*found.columns))
+    # a document may hold a context at several places; one stood for all of them
+    places = near.select("anchor", "context", F.col("lo").alias("at"))
+    more = settled.where("again").join(places, ["anchor", "context"]).where("at <> lo").select("doc_id", (F.col("start") - F.col("lo") + F.col("at")).alias("start"), (F.col("end") - F.col("lo") + F.col("at")).alias("end"))
+    return whole.unionByName(settled.select("doc_id", "start", "end")).unionByName(more)
 
 
 def shared_chars(documents: DataFrame, span: int = SPAN, width: int = ANCHOR, group: int = GROUP) -> DataFrame:
