@@ -18,16 +18,18 @@ def cell_of(value: Column, side: float) -> Column:
     return cell.cast("bigint") + F.lit(_HALF)
 
 
-def _spread(v: Column) -> Column:
-    """Puts a zero bit before each of the low 31 bits."""
-    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
-        v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
-    return v
-
+def with_morton(df: DataFrame, **codes: tuple[str, str]) -> DataFrame:
+    """Adds Z-order codes of pairs of columns of cell numbers: the bits of both numbers interleaved.
 
-def morton(cx: Column, cy: Column) -> Column:
-    """The Z-order code of a cell: the bits of both cell numbers interleaved."""
-    return _spread(cx).bitwiseOR(F.shiftleft(_spread(cy), 1))
+    The bits are spread in five halving steps, each a projection of its own, since a step uses its input twice and one
+    expression of all five would hold it 32 times.
+    """
+    sides = sorted({c for pair in codes.values() for c in pair})
+    df = df.withColumns({f"_m{c}": F.col(c) for c in sides})
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        df = df.withColumns({f"_m{c}": F.col(f"_m{c}").bitwiseOR(F.shiftleft(f"_m{c}", shift)).bitwiseAND(F.lit(mask)) for c in sides})
+    df = df.withColumns({name: F.col(f"_m{x}").bitwiseOR(F.shiftleft(f"_m{y}", 1)) for name, (x, y) in codes.items()})
+    return df.drop(*[f"_m{c}" for c in sides])
 
 
 def _covers(df: DataFrame, x_lo: Column, x_hi: Column, y_lo: Column, y_hi: Column, side: float) -> DataFrame:
@@ -40,17 +42,14 @@ def _covers(df: DataFrame, x_lo: Column, x_hi: Column, y_lo: Column, y_hi: Colum
     df = df.withColumn("_bx", F.explode(F.sequence(F.shiftright("_x0", BLOCK_BITS), F.shiftright("_x1", BLOCK_BITS))))
     df = df.withColumn("_by", F.explode(F.sequence(F.shiftright("_y0", BLOCK_BITS), F.shiftright("_y1", BLOCK_BITS))))
     x0, y0 = F.shiftleft("_bx", BLOCK_BITS), F.shiftleft("_by", BLOCK_BITS)
-    df = df.withColumns({
-        "_block": morton(F.col("_bx"), F.col("_by")),
-        "_lo": morton(F.greatest("_x0", x0), F.greatest("_y0", y0)),
-        "_hi": morton(F.least("_x1", x0 + F.lit(last)), F.least("_y1", y0 + F.lit(last))),
-    })
-    return df.drop("_x0", "_x1", "_y0", "_y1", "_bx", "_by")
+    df = df.withColumns({"_x0": F.greatest("_x0", x0), "_y0": F.greatest("_y0", y0), "_x1": F.least("_x1", x0 + F.lit(last)), "_y1": F.least("_y1", y0 + F.lit(last))})
+    df = with_morton(df.drop("_bx", "_by"), _lo=("_x0", "_y0"), _hi=("_x1", "_y1")).drop("_x0", "_x1", "_y0", "_y1")
+    return df.withColumn("_block", F.shiftright("_lo", 2 * BLOCK_BITS))
 
 
 def _coded(df: DataFrame, x: str, y: str, side: float) -> DataFrame:
-    df = df.withColumn("_code", morton(cell_of(F.col(x), side), cell_of(F.col(y), side)))
-    return df.withColumn("_block", F.shiftright("_code", 2 * BLOCK_BITS))
+    df = df.withColumns({"_cx": cell_of(F.col(x), side), "_cy": cell_of(F.col(y), side)})
+    return with_morton(df, _code=("_cx", "_cy")).drop("_cx", "_cy").withColumn("_block", F.shiftright("_code", 2 * BLOCK_BITS))
 
 
 def points_within(points: DataFrame, radius: float, scope: str, key: str, x: str = "x", y: str = "y") -> DataFrame:
