@@ -13,9 +13,13 @@ _HALF = 1 << 30
 
 
 def cell_of(value: Column, side: float) -> Column:
-    """The non-negative cell number of a coordinate. Coordinates beyond 2**30 cells share the outermost cell."""
+    """The non-negative cell number of a coordinate. Coordinates beyond 2**30 cells share the outermost cell.
+
+    Never null, as callers keep null coordinates out: a nullable key would make the optimiser push a test of the whole
+    code expression, written out, down to the scan.
+    """
     cell = F.floor(F.greatest(F.least(value / F.lit(side), F.lit(float(_HALF - 1))), F.lit(float(-_HALF))))
-    return cell.cast("bigint") + F.lit(_HALF)
+    return F.coalesce(cell.cast("bigint"), F.lit(0)) + F.lit(_HALF)
 
 
 def with_morton(df: DataFrame, **codes: tuple[str, str]) -> DataFrame:
