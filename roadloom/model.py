@@ -43,4 +43,39 @@ FIT_WARN, FIT_ACCEPT = 0.01, 0.05
 ROUNDTRIP_STEP = 0.5
 UTM_SCALE = 0.9996
 
+# Names of the checks as reports show them.
+CHECK_NAMES = {
+    "vm-01-01": "Lanelet basics tags",
+    "vm-01-02": "Boundary line tags",
+    "vm-01-03": "Linestring sharing",
+    "vm-01-04": "Opposing centerline sharing",
+    "vm-01-05": "Lane geometry smooth",
+    "vm-01-16": "Road/shoulder sharing",
+    "vm-01-21": "Forward/backward connectivity",
+    "vm-01-24": "Lanelet splitting",
+    "vm-03-01": "Intersection area",
+    "vm-03-02": "Turn direction",
+    "vm-03-03": "Intersection width/shape",
+    "vm-03-07": "Adjacent connector sharing",
+    "vm-03-08": "Intersection area range",
+    "vm-03-09": "Stop-line-bounded range",
+    "vm-03-10": "Right of way",
+    "vm-04-01": "Traffic light basics",
+    "vm-05-01": "Crosswalk basics",
+    "vm-07-04": "Ellipsoidal height",
+    "vm-07-06": "Junction lanelet completeness",
+    "vm-07-08": "Overlapping lanes",
+    "xodr-01": "header",
+    "xodr-02": "geoReference parses",
+    "xodr-03": "road ids unique",
+    "xodr-04": "planView consistent",
+    "xodr-05": "geometry continuity",
+    "xodr-06": "lane sections",
+    "xodr-07": "road link targets exist",
+    "xodr-08": "lane link targets exist",
+    "xodr-09": "junction connections",
+    "xodr-10": "connecting roads referenced",
+    "xodr-11": "numeric attributes finite",
+}
+
 RESULT = "map_id, req_id, name, status, detail, offenders, total"

@@ -16,12 +16,13 @@ from roadloom.functions import polyline as P
 from roadloom.functions import resample as R
 from roadloom.operators.components import components
 from roadloom.operators.maptables import MAP, MapTables, coincident_ways, cross_sections, shared_ends, twins
+from roadloom.storage import Scratch
 
 
-def verdict(t: MapTables, found: DataFrame, req: str, name: str, status: Column, detail: Column, offenders: Column, total: Column) -> DataFrame:
+def verdict(t: MapTables, found: DataFrame, req: str, status: Column, detail: Column, offenders: Column, total: Column) -> DataFrame:
     """One result row per map; ``found`` has one row per map with anything to count, and nulls elsewhere read as 0."""
     rows = t.maps.join(found, MAP, "left").fillna(0)
-    return rows.select(MAP, F.lit(req).alias("req_id"), F.lit(name).alias("name"), status.alias("status"), detail.alias("detail"), offenders.cast("bigint").alias("offenders"), total.cast("bigint").alias("total"))
+    return rows.select(MAP, F.lit(req).alias("req_id"), F.lit(M.CHECK_NAMES[req]).alias("name"), status.alias("status"), detail.alias("detail"), offenders.cast("bigint").alias("offenders"), total.cast("bigint").alias("total"))
 
 
 def graded(total: str, bad: str) -> Column:
@@ -48,7 +49,7 @@ def basic_tags(t: MapTables) -> DataFrame:
     found = roads.groupBy(MAP).agg(
         F.count("*").alias("total"), count_if("location is null").alias("loc"), count_if("one_way is null").alias("ow"), count_if("speed_limit is null and ruled is null").alias("spd")
     ).withColumn("worst", F.greatest("loc", "ow", "spd"))
-    return verdict(t, found, "vm-01-01", "Lanelet basics tags", graded("total", "worst"), _tell("without location ", n("loc"), ", one_way ", n("ow"), ", speed_limit ", n("spd")), F.col("worst"), F.col("total"))
+    return verdict(t, found, "vm-01-01", graded("total", "worst"), _tell("without location ", n("loc"), ", one_way ", n("ow"), ", speed_limit ", n("spd")), F.col("worst"), F.col("total"))
 
 
 def boundary_tags(t: MapTables) -> DataFrame:
@@ -57,14 +58,14 @@ def boundary_tags(t: MapTables) -> DataFrame:
     counts = F.col("drivable") & ~((F.col("uses") >= 2) & F.col("all_road")) & F.col("twin").isNull()
     tagged = F.coalesce(F.col("type").isin(M.BOUNDARY_TYPES) & F.col("lane_change").isNotNull(), F.lit(False))
     found = own.groupBy(MAP).agg(F.count("*").alias("ways"), count_if(counts).alias("total"), count_if(counts & ~tagged).alias("bad"))
-    return verdict(t, found, "vm-01-02", "Boundary line tags", graded("ways", "bad"), F.lit("lines without type or lane_change"), F.col("bad"), F.col("total"))
+    return verdict(t, found, "vm-01-02", graded("ways", "bad"), F.lit("lines without type or lane_change"), F.col("bad"), F.col("total"))
 
 
 def line_sharing(t: MapTables) -> DataFrame:
     """vm-01-03: some boundary ways serve more than one lanelet; ``offenders`` counts those ways."""
     found = t.owners.groupBy(MAP).agg(F.count("*").alias("total"), count_if("uses > 1").alias("shared"))
     status = F.when(F.col("total") == 0, M.SKIP).when(F.col("shared") > 0, M.PASS).otherwise(M.FAIL)
-    return verdict(t, found, "vm-01-03", "Linestring sharing", status, F.lit("ways used by several lanelets"), F.col("shared"), F.col("total"))
+    return verdict(t, found, "vm-01-03", status, F.lit("ways used by several lanelets"), F.col("shared"), F.col("total"))
 
 
 def centroids(t: MapTables) -> DataFrame:
@@ -95,7 +96,7 @@ def opposing_sharing(t: MapTables) -> DataFrame:
     status = F.when(fail, M.FAIL).when(none, M.SKIP).otherwise(M.PASS)
     detail = F.when(fail, "opposing lines coincide but are two ways").when(none, "no opposing lanelets").otherwise("opposing lanelets share a line")
     pick = lambda a, b: F.when(fail, F.col(a)).when(none, 0).otherwise(F.col(b))
-    return verdict(t, found, "vm-01-04", "Opposing centerline sharing", status, detail, pick("dupes", "shared"), pick("lines", "ways"))
+    return verdict(t, found, "vm-01-04", status, detail, pick("dupes", "shared"), pick("lines", "ways"))
 
 
 def smooth_lines(t: MapTables) -> DataFrame:
@@ -103,7 +104,7 @@ def smooth_lines(t: MapTables) -> DataFrame:
     lines = t.way.where(F.col("type").isin(M.SMOOTH_TYPES)).join(t.polylines, [MAP, "way_id"], "left")
     bend = F.coalesce(P.min_interior_angle(F.col("pts")) < M.KINK_DEGREES, F.lit(False))
     found = lines.groupBy(MAP).agg(F.count("*").alias("total"), count_if(bend).alias("bad"))
-    return verdict(t, found, "vm-01-05", "Lane geometry smooth", graded("total", "bad"), F.lit("ways with a kink"), F.col("bad"), F.col("total"))
+    return verdict(t, found, "vm-01-05", graded("total", "bad"), F.lit("ways with a kink"), F.col("bad"), F.col("total"))
 
 
 def shoulder_sharing(t: MapTables) -> DataFrame:
@@ -112,7 +113,7 @@ def shoulder_sharing(t: MapTables) -> DataFrame:
     of = lambda s: t.boundary_lines.join(sub.where(F.col("subtype") == s).select(MAP, "way_id"), [MAP, "way_id"], "left_semi")
     found = twins(of("road"), of("road_shoulder"), M.SAME_LINE_TOL).groupBy(MAP).agg(F.count("*").alias("bad"))
     found = t.lanelets.groupBy(MAP).agg(count_if("subtype = 'road_shoulder'").alias("total")).join(found, MAP, "left")
-    return verdict(t, found, "vm-01-16", "Road/shoulder sharing", graded("total", "bad"), F.lit("road and shoulder lines alike but two ways"), F.when(F.col("total") == 0, 0).otherwise(F.col("bad")), F.col("total"))
+    return verdict(t, found, "vm-01-16", graded("total", "bad"), F.lit("road and shoulder lines alike but two ways"), F.when(F.col("total") == 0, 0).otherwise(F.col("bad")), F.col("total"))
 
 
 def connectivity(t: MapTables) -> DataFrame:
@@ -120,7 +121,7 @@ def connectivity(t: MapTables) -> DataFrame:
     size = F.greatest(*[F.when(F.size(p) >= 2, P.length(F.col(p))).otherwise(0.0) for p in ("lp", "rp")])
     roads = t.shaped.where("subtype = 'road'").where(size >= M.MIN_BOUNDARY).select(MAP, "rel_id").join(shared_ends(t), [MAP, "rel_id"], "left").fillna(0)
     found = roads.groupBy(MAP).agg(F.count("*").alias("total"), count_if("shared = 0").alias("bad"), count_if("shared = 1").alias("ended"))
-    return verdict(t, found, "vm-01-21", "Forward/backward connectivity", graded("total", "bad"), _tell("isolated road lanelets; one-ended ", n("ended")), F.col("bad"), F.col("total"))
+    return verdict(t, found, "vm-01-21", graded("total", "bad"), _tell("isolated road lanelets; one-ended ", n("ended")), F.col("bad"), F.col("total"))
 
 
 def exempt(t: MapTables) -> DataFrame:
@@ -152,7 +153,7 @@ def length_limits(t: MapTables) -> DataFrame:
     limit = F.when(R.max_turn(F.col("pts")) > M.CURVE_TURN, M.MAX_CURVED).otherwise(M.MAX_STRAIGHT)
     ways = ways.withColumn("long", (F.col("len") > M.MAX_CURVED) & (F.col("len") > limit))
     found = ways.groupBy(MAP).agg(F.count("*").alias("total"), count_if("long and cuttable").alias("bad"), count_if("long and not cuttable").alias("fixed"))
-    return verdict(t, found, "vm-01-24", "Lanelet splitting", graded("total", "bad"), _tell("boundaries over the limit; not to be cut ", n("fixed")), F.col("bad"), F.col("total"))
+    return verdict(t, found, "vm-01-24", graded("total", "bad"), _tell("boundaries over the limit; not to be cut ", n("fixed")), F.col("bad"), F.col("total"))
 
 
 def connectors(t: MapTables) -> DataFrame:
@@ -173,13 +174,13 @@ def area_presence(t: MapTables) -> DataFrame:
     status = F.when(F.col("turning") == 0, M.SKIP).when(F.col("w_intersection_area") == 0, M.FAIL).otherwise(M.PASS)
     bad = F.when(status == M.FAIL, F.col("turning")).otherwise(0)
     total = F.when(status == M.SKIP, 0).when(status == M.FAIL, F.col("turning")).otherwise(F.col("w_intersection_area"))
-    return verdict(t, _counts(t), "vm-03-01", "Intersection area", status, _tell(n("w_intersection_area"), " areas"), bad, total)
+    return verdict(t, _counts(t), "vm-03-01", status, _tell(n("w_intersection_area"), " areas"), bad, total)
 
 
 def turn_tags(t: MapTables) -> DataFrame:
     """vm-03-02: lanelets that name an intersection area have a turn direction; without any, the tag itself counts."""
     status = F.when((F.col("inside") == 0) & (F.col("turning") == 0), M.SKIP).when(F.col("unturned") == 0, M.PASS).otherwise(M.FAIL)
-    return verdict(t, _counts(t), "vm-03-02", "Turn direction", status, F.lit("junction lanelets without turn_direction"), F.col("unturned"), F.when(F.col("inside") > 0, F.col("inside")).otherwise(F.col("turning")))
+    return verdict(t, _counts(t), "vm-03-02", status, F.lit("junction lanelets without turn_direction"), F.col("unturned"), F.when(F.col("inside") > 0, F.col("inside")).otherwise(F.col("turning")))
 
 
 def aligned(left: Column, right: Column) -> Column:
@@ -198,7 +199,7 @@ def connector_shape(t: MapTables) -> DataFrame:
     jump = F.coalesce((F.array_min("w") > 0) & (F.array_max("w") > M.WIDTH_RATIO * F.array_min("w")), F.lit(False))
     kink = F.least(P.min_interior_angle(F.col("lp")), P.min_interior_angle(F.col("rp"))) < M.KINK_DEGREES
     found = c.groupBy(MAP).agg(F.count("*").alias("total"), count_if(jump).alias("wide"), count_if(kink).alias("kinks")).withColumn("bad", F.greatest("wide", "kinks"))
-    return verdict(t, found, "vm-03-03", "Intersection width/shape", graded("total", "bad"), _tell("width jumps ", n("wide"), ", kinks ", n("kinks")), F.col("bad"), F.col("total"))
+    return verdict(t, found, "vm-03-03", graded("total", "bad"), _tell("width jumps ", n("wide"), ", kinks ", n("kinks")), F.col("bad"), F.col("total"))
 
 
 def connector_sharing(t: MapTables) -> DataFrame:
@@ -214,7 +215,7 @@ def connector_sharing(t: MapTables) -> DataFrame:
     gap = lambda q: F.array_max(F.zip_with("q", q, P.dist))
     bad = met.where(F.least(gap(F.col("q2")), gap(F.reverse("q2"))) < M.CONNECTOR_SHARE).groupBy(MAP).agg(F.count("*").alias("bad"))
     found = connectors(t).groupBy(MAP).agg(F.count("*").alias("any")).join(lines.groupBy(MAP).agg(F.count("*").alias("total")), MAP, "left").join(bad, MAP, "left")
-    return verdict(t, found, "vm-03-07", "Adjacent connector sharing", graded("any", "bad"), F.lit("connector lines alike but several ways"), F.col("bad"), F.col("total"))
+    return verdict(t, found, "vm-03-07", graded("any", "bad"), F.lit("connector lines alike but several ways"), F.col("bad"), F.col("total"))
 
 
 def area_range(t: MapTables) -> DataFrame:
@@ -229,7 +230,7 @@ def area_range(t: MapTables) -> DataFrame:
     bad = met.groupBy(MAP).agg(F.count("*").alias("total"), count_if(~inside).alias("bad"))
     found = _counts(t).join(bad, MAP, "left").fillna(0)
     status = F.when((F.col("turning") == 0) | (F.col("w_intersection_area") == 0), M.SKIP).when(F.col("bad") == 0, M.PASS).otherwise(M.FAIL)
-    return verdict(t, found, "vm-03-08", "Intersection area range", status, F.lit("connectors outside their area"), F.col("bad"), F.col("total"))
+    return verdict(t, found, "vm-03-08", status, F.lit("connectors outside their area"), F.col("bad"), F.col("total"))
 
 
 def stop_line_gaps(t: MapTables) -> DataFrame:
@@ -249,7 +250,7 @@ def stop_line_gaps(t: MapTables) -> DataFrame:
 def stop_line_range(t: MapTables) -> DataFrame:
     """vm-03-09: a governed stop line lies within 6 m of an end of a lanelet that its regulatory element governs."""
     found = stop_line_gaps(t).groupBy(MAP).agg(F.count("*").alias("total"), count_if(F.col("gap") > M.STOP_LINE_RANGE).alias("bad"))
-    return verdict(t, found, "vm-03-09", "Stop-line-bounded range", graded("total", "bad"), F.lit("governed stop lines off the junction"), F.col("bad"), F.col("total"))
+    return verdict(t, found, "vm-03-09", graded("total", "bad"), F.lit("governed stop lines off the junction"), F.col("bad"), F.col("total"))
 
 
 def right_of_way(t: MapTables) -> DataFrame:
@@ -259,7 +260,7 @@ def right_of_way(t: MapTables) -> DataFrame:
     found = _counts(t).join(row, MAP, "left").fillna(0)
     status = F.when((F.col("turning") == 0) | (F.col("r_right_of_way") == 0), M.SKIP).otherwise(M.PASS)
     total = F.when(F.col("turning") == 0, 0).when(F.col("r_right_of_way") == 0, F.col("turning")).otherwise(F.col("r_right_of_way"))
-    return verdict(t, found, "vm-03-10", "Right of way", status, _tell("signed ", n("signed"), ", right before left ", (F.col("r_right_of_way") - F.col("signed")).cast("string")), F.lit(0), total)
+    return verdict(t, found, "vm-03-10", status, _tell("signed ", n("signed"), ", right before left ", (F.col("r_right_of_way") - F.col("signed")).cast("string")), F.lit(0), total)
 
 
 def traffic_lights(t: MapTables) -> DataFrame:
@@ -267,7 +268,7 @@ def traffic_lights(t: MapTables) -> DataFrame:
     absent = F.when(F.col("r_traffic_light") == 0, 1).otherwise(0) + F.when(F.col("w_light_bulbs") == 0, 1).otherwise(0)
     none = (F.col("w_traffic_light") == 0) & (F.col("r_traffic_light") == 0)
     status = F.when(none, M.SKIP).when(absent == 0, M.PASS).otherwise(M.FAIL)
-    return verdict(t, _counts(t), "vm-04-01", "Traffic light basics", status, _tell(n("w_traffic_light"), " ways, ", n("r_traffic_light"), " elements, ", n("w_light_bulbs"), " bulbs"), F.when(none, 0).otherwise(absent), F.when(none, 0).otherwise(3))
+    return verdict(t, _counts(t), "vm-04-01", status, _tell(n("w_traffic_light"), " ways, ", n("r_traffic_light"), " elements, ", n("w_light_bulbs"), " bulbs"), F.when(none, 0).otherwise(absent), F.when(none, 0).otherwise(3))
 
 
 def crosswalks(t: MapTables) -> DataFrame:
@@ -286,13 +287,13 @@ def crosswalks(t: MapTables) -> DataFrame:
     bad = sum((F.when(c, 1).otherwise(0) for c in (F.col("w_crosswalk_polygon") == 0, F.col("r_crosswalk") == 0, F.col("loose") > 0, F.col("closed") > 0, F.col("flat") > 0)), F.lit(0))
     none = F.col("crosswalks") == 0
     status = F.when(none, M.SKIP).when(bad == 0, M.PASS).otherwise(M.FAIL)
-    return verdict(t, found, "vm-05-01", "Crosswalk basics", status, _tell(n("crosswalks"), " crosswalks; not referred to ", n("loose"), ", without pedestrians ", n("closed"), ", collapsed ", n("flat")), F.when(none, 0).otherwise(bad), F.col("crosswalks"))
+    return verdict(t, found, "vm-05-01", status, _tell(n("crosswalks"), " crosswalks; not referred to ", n("loose"), ", without pedestrians ", n("closed"), ", collapsed ", n("flat")), F.when(none, 0).otherwise(bad), F.col("crosswalks"))
 
 
 def heights(t: MapTables) -> DataFrame:
     """vm-07-04: every node has a height."""
     found = t.node.groupBy(MAP).agg(F.count("*").alias("total"), count_if("ele is null").alias("bad"))
-    return verdict(t, found, "vm-07-04", "Ellipsoidal height", graded("total", "bad"), F.lit("nodes without ele"), F.col("bad"), F.col("total"))
+    return verdict(t, found, "vm-07-04", graded("total", "bad"), F.lit("nodes without ele"), F.col("bad"), F.col("total"))
 
 
 def connector_completeness(t: MapTables) -> DataFrame:
@@ -302,7 +303,7 @@ def connector_completeness(t: MapTables) -> DataFrame:
     good = cs.join(often, [MAP, "n1", "n2"]).groupBy(MAP, "rel_id").agg(F.min("times").alias("least"))
     c = t.lanelets.where("turn_direction is not null").join(good, [MAP, "rel_id"], "left")
     found = c.groupBy(MAP).agg(F.count("*").alias("total"), count_if(F.coalesce(F.col("least") < 2, F.lit(True))).alias("bad"))
-    return verdict(t, found, "vm-07-06", "Junction lanelet completeness", graded("total", "bad"), F.lit("connectors without neighbour at an end"), F.col("bad"), F.col("total"))
+    return verdict(t, found, "vm-07-06", graded("total", "bad"), F.lit("connectors without neighbour at an end"), F.col("bad"), F.col("total"))
 
 
 def overlap_items(t: MapTables) -> DataFrame:
@@ -346,7 +347,7 @@ def overlapping(t: MapTables) -> DataFrame:
     found = overlap_items(t).groupBy(MAP).agg(F.count("*").alias("items")).join(bad, MAP, "left").fillna(0)
     few = F.col("items") < 2
     status = F.when(few, M.SKIP).when(F.col("bad") == 0, M.PASS).otherwise(M.FAIL)
-    return verdict(t, found, "vm-07-08", "Overlapping lanes", status, _tell("overlaps against the rule, of ", n("pairs")), F.col("bad"), F.when(few, 0).otherwise(F.col("items")))
+    return verdict(t, found, "vm-07-08", status, _tell("overlaps against the rule, of ", n("pairs")), F.col("bad"), F.when(few, 0).otherwise(F.col("items")))
 
 
 CHECKS: dict[str, Callable[[MapTables], DataFrame]] = {
@@ -357,8 +358,15 @@ CHECKS: dict[str, Callable[[MapTables], DataFrame]] = {
 }
 
 
+#: What several checks need: written once before all of them run.
+SHARED = ("maps", "polylines", "ends", "sides", "bounds", "owners", "shaped", "boundary_lines")
+
+
 def check_map(t: MapTables) -> DataFrame:
-    """All checks of all maps as one table."""
+    """All checks of all maps as one table. The derived tables that several checks read are written once."""
+    store = Scratch(t.node.sparkSession, "checks")
+    for name in SHARED:
+        setattr(t, name, store.save(getattr(t, name), name))
     every = [check(t) for check in CHECKS.values()]
     out = every[0]
     for more in every[1:]:

@@ -16,10 +16,10 @@ MAP = "map_id"
 ROAD = [MAP, "road_id", "road_ord"]
 
 
-def _row(t: PlanTables, found: DataFrame, req: str, name: str, status: Column, detail: Column | str, bad: Column, total: Column) -> DataFrame:
+def _row(t: PlanTables, found: DataFrame, req: str, status: Column, detail: Column | str, bad: Column, total: Column) -> DataFrame:
     rows = t.file.select(MAP, "root").join(found, MAP, "left").fillna(0)
     detail = F.lit(detail) if isinstance(detail, str) else detail
-    return rows.select(MAP, F.lit(req).alias("req_id"), F.lit(name).alias("name"), status.alias("status"), F.coalesce(detail, F.lit("")).alias("detail"), bad.cast("bigint").alias("offenders"), total.cast("bigint").alias("total"))
+    return rows.select(MAP, F.lit(req).alias("req_id"), F.lit(M.CHECK_NAMES[req]).alias("name"), status.alias("status"), F.coalesce(detail, F.lit("")).alias("detail"), bad.cast("bigint").alias("offenders"), total.cast("bigint").alias("total"))
 
 
 def _verdict(bad: Column | None = None) -> Column:
@@ -35,20 +35,20 @@ def preview(bad: Column, what: Column, ord_: str = "ord") -> Column:
 def check_header(t: PlanTables) -> DataFrame:
     first = t.header.groupBy(MAP).agg(F.min_by(F.struct("revMajor", "revMinor"), "ord").alias("h"))
     status = F.when((F.coalesce("root", F.lit("")) == "OpenDRIVE") & F.coalesce(F.col("h.revMajor") == "1", F.lit(False)) & F.col("h.revMinor").isNotNull(), M.PASS).otherwise(M.FAIL)
-    return _row(t, first, "xodr-01", "header", status, F.concat(F.lit("revision "), F.coalesce("h.revMajor", F.lit("-")), F.lit("."), F.coalesce("h.revMinor", F.lit("-"))), F.lit(0), F.lit(0))
+    return _row(t, first, "xodr-01", status, F.concat(F.lit("revision "), F.coalesce("h.revMajor", F.lit("-")), F.lit("."), F.coalesce("h.revMinor", F.lit("-"))), F.lit(0), F.lit(0))
 
 
 def check_georeference(t: PlanTables) -> DataFrame:
     first = t.georef.groupBy(MAP).agg(F.min_by("text", "ord").alias("text"))
     none = F.coalesce("text", F.lit("")) == ""
     status = F.when(none, M.SKIP).when(F.col("text").contains("CDATA") | ~crs_is_valid(F.col("text")), M.FAIL).otherwise(M.PASS)
-    return _row(t, first, "xodr-02", "geoReference parses", status, F.substring("text", 1, 70), F.lit(0), F.lit(0))
+    return _row(t, first, "xodr-02", status, F.substring("text", 1, 70), F.lit(0), F.lit(0))
 
 
 def check_road_ids(t: PlanTables) -> DataFrame:
     per = t.road.groupBy(MAP, "road_id").agg(F.count("*").alias("n"), F.min("ord").alias("ord"))
     found = per.groupBy(MAP).agg(F.count_if(F.col("n") > 1).alias("bad"), F.sum("n").alias("total"), preview(F.col("n") > 1, F.col("road_id")).alias("first"))
-    return _row(t, found, "xodr-03", "road ids unique", _verdict(), F.col("first"), F.col("bad"), F.col("total"))
+    return _row(t, found, "xodr-03", _verdict(), F.col("first"), F.col("bad"), F.col("total"))
 
 
 def road_geometry_faults(t: PlanTables) -> DataFrame:
@@ -68,13 +68,13 @@ def road_geometry_faults(t: PlanTables) -> DataFrame:
     return r.select(MAP, "road_id", "ord", F.coalesce(bad, F.lit(True)).alias("bad"))
 
 
-def _per_road(t: PlanTables, faults: DataFrame, req: str, name: str) -> DataFrame:
+def _per_road(t: PlanTables, faults: DataFrame, req: str) -> DataFrame:
     found = faults.groupBy(MAP).agg(F.count("*").alias("total"), F.count_if("bad").alias("bad"), preview(F.col("bad"), F.col("road_id")).alias("first"))
-    return _row(t, found, req, name, _verdict(), F.col("first"), F.col("bad"), F.col("total"))
+    return _row(t, found, req, _verdict(), F.col("first"), F.col("bad"), F.col("total"))
 
 
 def check_planview(t: PlanTables) -> DataFrame:
-    return _per_road(t, road_geometry_faults(t), "xodr-04", "planView consistent")
+    return _per_road(t, road_geometry_faults(t), "xodr-04")
 
 
 def geometry_gaps(t: PlanTables) -> DataFrame:
@@ -89,7 +89,7 @@ def check_continuity(t: PlanTables) -> DataFrame:
     found = geometry_gaps(t).groupBy(MAP).agg(F.count("*").alias("total"), F.count_if(bad).alias("bad"), F.count_if(~F.col("known")).alias("unknown"), F.max("gap").alias("worst"))
     status = F.when((F.col("unknown") > 0) & (F.col("bad") == 0), M.SKIP).otherwise(_verdict())
     total = F.when(status == M.SKIP, 0).otherwise(F.col("total"))
-    return _row(t, found, "xodr-05", "geometry continuity", status, F.concat(F.lit("worst gap "), F.round("worst", 4).cast("string")), F.col("bad"), total)
+    return _row(t, found, "xodr-05", status, F.concat(F.lit("worst gap "), F.round("worst", 4).cast("string")), F.col("bad"), total)
 
 
 def lane_faults(t: PlanTables) -> DataFrame:
@@ -123,7 +123,7 @@ def lane_faults(t: PlanTables) -> DataFrame:
 
 def check_lanes(t: PlanTables) -> DataFrame:
     found = lane_faults(t).groupBy(MAP).agg(F.count("*").alias("total"), F.sum("faults").alias("bad"), preview(F.col("faults") > 0, F.col("road_id")).alias("first"))
-    return _row(t, found, "xodr-06", "lane sections", _verdict(), F.col("first"), F.col("bad"), F.col("total"))
+    return _row(t, found, "xodr-06", _verdict(), F.col("first"), F.col("bad"), F.col("total"))
 
 
 def road_link_faults(links: DataFrame, roads: DataFrame, junctions: DataFrame) -> DataFrame:
@@ -135,7 +135,7 @@ def road_link_faults(links: DataFrame, roads: DataFrame, junctions: DataFrame) -
 
 def check_road_links(t: PlanTables) -> DataFrame:
     found = road_link_faults(t.road_link, t.road, t.junction).groupBy(MAP).agg(F.count("*").alias("total"), F.count_if("bad").alias("bad"), preview(F.col("bad"), F.col("road_id")).alias("first"))
-    return _row(t, found, "xodr-07", "road link targets exist", _verdict(), F.col("first"), F.col("bad"), F.col("total"))
+    return _row(t, found, "xodr-07", _verdict(), F.col("first"), F.col("bad"), F.col("total"))
 
 
 def lane_link_faults(t: PlanTables) -> DataFrame:
@@ -152,7 +152,7 @@ def lane_link_faults(t: PlanTables) -> DataFrame:
 
 def check_lane_links(t: PlanTables) -> DataFrame:
     found = lane_link_faults(t).groupBy(MAP).agg(F.count("*").alias("total"), F.count_if("bad").alias("bad"), preview(F.col("bad"), F.col("road_id")).alias("first"))
-    return _row(t, found, "xodr-08", "lane link targets exist", _verdict(), F.col("first"), F.col("bad"), F.col("total"))
+    return _row(t, found, "xodr-08", _verdict(), F.col("first"), F.col("bad"), F.col("total"))
 
 
 def connection_faults(t: PlanTables) -> DataFrame:
@@ -175,7 +175,7 @@ def check_junctions(t: PlanTables) -> DataFrame:
     empty = t.junction.join(t.connection.select(MAP, F.col("junction_ord").cast("bigint").alias("ord")).distinct(), [MAP, "ord"], "left_anti").groupBy(MAP).agg(F.count("*").alias("empty"))
     found = t.junction.groupBy(MAP).agg(F.count("*").alias("any")).join(c, MAP, "left").join(empty, MAP, "left").fillna(0).withColumn("bad", F.col("bad") + F.col("empty"))
     status = F.when(F.col("any") == 0, M.SKIP).otherwise(_verdict())
-    return _row(t, found, "xodr-09", "junction connections", status, F.concat(F.lit("junctions without connection "), F.col("empty").cast("string")), F.col("bad"), F.col("total"))
+    return _row(t, found, "xodr-09", status, F.concat(F.lit("junctions without connection "), F.col("empty").cast("string")), F.col("bad"), F.col("total"))
 
 
 def unreferenced_roads(roads: DataFrame, connections: DataFrame) -> DataFrame:
@@ -186,12 +186,12 @@ def unreferenced_roads(roads: DataFrame, connections: DataFrame) -> DataFrame:
 
 def check_referenced(t: PlanTables) -> DataFrame:
     found = unreferenced_roads(t.road, t.connection).groupBy(MAP).agg(F.count("*").alias("total"), F.count_if("bad").alias("bad"), preview(F.col("bad"), F.col("road_id")).alias("first"))
-    return _row(t, found, "xodr-10", "connecting roads referenced", F.when(F.col("total") == 0, M.SKIP).otherwise(_verdict()), F.col("first"), F.col("bad"), F.col("total"))
+    return _row(t, found, "xodr-10", F.when(F.col("total") == 0, M.SKIP).otherwise(_verdict()), F.col("first"), F.col("bad"), F.col("total"))
 
 
 def check_numbers(t: PlanTables) -> DataFrame:
     found = t.file.select(MAP, F.col("numbers").alias("total"), F.col("unfinite").alias("bad"))
-    return _row(t, found, "xodr-11", "numeric attributes finite", _verdict(), "", F.col("bad"), F.col("total"))
+    return _row(t, found, "xodr-11", _verdict(), "", F.col("bad"), F.col("total"))
 
 
 CHECKS: dict[str, Callable[[PlanTables], DataFrame]] = {

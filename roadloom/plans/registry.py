@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from roadloom.plans import data_queries, map_queries, more_queries, plan_queries
+from roadloom.plans import data_queries, extra_queries, map_queries, more_queries, plan_queries
 
-_GROUPS = (data_queries, map_queries, more_queries, plan_queries)
+_GROUPS = (data_queries, map_queries, more_queries, plan_queries, extra_queries)
 FLAGSHIP = "check_vm_01_24"
 QUERIES = {k: v for g in _GROUPS for k, v in g.QUERIES.items()}
 SQL = {k: v for g in _GROUPS for k, v in g.SQL.items()}
