@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from decimal import Decimal, InvalidOperation
 
@@ -16,6 +17,7 @@ TAGGED = "record_id bigint, elem string, parent string, pos int, val string"
 #: The tables that the tagged rows separate into, with the names that parent and val get there.
 TABLES = {"width": ("lane", "s_offset_mm"), "road_mark": ("lane", "s_offset_mm"), "connection": ("junction", "connecting_road"), "lane_link": ("connection", "from_to"), "member": ("relation", "role")}
 SIDES = ("left", "center", "right")
+_NUMBER = re.compile(r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?")
 #: Parsing a text nested deeper than this stops; such a payload counts as not usable.
 DEPTH = 500
 
@@ -35,16 +37,21 @@ def _attr(x: dict, name: str) -> str:
         value = next((v for k, v in x.items() if len(k) == len(name) + 1 and k.endswith(name) and v is not None and not isinstance(v, (dict, list))), None)
     if value is None or isinstance(value, (dict, list)):
         return ""
-    return ("true" if value else "false") if isinstance(value, bool) else str(value).strip()
+    text = ("true" if value else "false") if isinstance(value, bool) else str(value).strip()
+    return text if text.isascii() else text.encode("utf-8", "replace").decode()  # half a surrogate pair is no text
 
 
 def _millimetres(text: str) -> str:
-    """Metres as whole millimetres, halves to even; empty if it is no finite number."""
+    """Metres as whole millimetres, halves to even; empty if it is no finite decimal number, or one beyond 30 digits."""
+    if not _NUMBER.fullmatch(text):
+        return ""
     try:
-        number = Decimal(text)
-        return str(int((number * 1000).to_integral_value())) if number.is_finite() and abs(number.adjusted()) < 30 else "0" if number.is_finite() and number.adjusted() < 0 else ""
-    except (InvalidOperation, ValueError):
+        number = Decimal(text) * 1000
+    except InvalidOperation:
+        return ""
+    if number.adjusted() > 30:
         return ""
+    return str(int(number.to_integral_value())) if number.adjusted() > -3 else "0"
 
 
 def _named(x: object, kind: str, depth: int = 0) -> Iterator[dict]:
@@ -97,13 +104,17 @@ def _relation(relation: dict) -> Iterator[tuple[str, str, int, str]]:
 _VISITORS = {"road": _road, "junction": _junction, "relation": _relation}
 
 
+def _no_constant(name: str) -> None:
+    raise ValueError(f"{name} is not valid JSON")
+
+
 def visit(kind: str | None, payload: str | None) -> Iterator[tuple[str, str, int, str]]:
     """(table tag, parent key, position, value) of one record, depth first; nothing if it is not usable."""
     visitor = _VISITORS.get(kind or "")
     if visitor is None or not payload:
         return
     try:
-        tree = json.loads(payload, parse_float=str, parse_int=str, parse_constant=str)
+        tree = json.loads(payload, parse_float=str, parse_int=str, parse_constant=_no_constant)
     except (ValueError, RecursionError):
         return
     for element in _named(tree, kind):

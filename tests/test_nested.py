@@ -21,6 +21,15 @@ def test_junctions_and_relations():
     assert list(visit("relation", json.dumps({"osm": {"relation": relation}}))) == [("member", "3", 0, "left"), ("member", "3", 1, "")]
 
 
+def test_numbers():
+    road = lambda v: {"road": {"id": 1, "lanes": {"laneSection": {"left": {"lane": {"id": 1, "width": {"sOffset": v}}}}}}}
+    want = {"1e1": "10000", "-0.0014": "-1", "0.0005": "0", "1_0": "", "nan": "", "Infinity": "", "1e400": "", "1e-400": "0", "0": "0", ".5": "500", "٣": "", True: "", 0.1: "100", 12: "12000"}
+    for value, text in want.items():
+        assert [r[3] for r in visit("road", json.dumps(road(value)))] == [text], value
+    assert list(visit("road", '{"road": {"id": NaN, "lanes": {"laneSection": {"left": {"lane": {"width": {}}}}}}}')) == []
+    assert list(visit("relation", '{"relation": {"id": 1, "member": {"role": "a\\ud800é"}}}')) == [("member", "1", 0, "a?é")]
+
+
 def test_unusable():
     for kind, payload in [("road", None), ("road", ""), ("road", "<road/>"), ("road", "null"), ("road", "[1, 2]"), ("road", '{"road": '), ("road", '{"junction": {}}'), (None, '{"road": {}}'), ("lane", '{"lane": {}}'), ("road", '{"road": [null, 3, {}]}'), ("road", "[" * 100000)]:
         assert list(visit(kind, payload)) == []
