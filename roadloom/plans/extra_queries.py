@@ -207,7 +207,7 @@ def s17(spark, sf):
     return w.where("k % step = 0 and k div step < 8").select("map_id", "way_id", "k")
 
 
-@query("p08_centre_in_outline", """, ring as (select b.map_id, b.rel_id, p.x, p.y, p.k as k from bnd b join pt p on p.map_id = b.map_id and p.way_id = b.l union all select b.map_id, b.rel_id, p.x, p.y, 1000000 - p.k from bnd b join pt p on p.map_id = b.map_id and p.way_id = b.r),
+@query("geo_p08_centre_in_outline", """, ring as (select b.map_id, b.rel_id, p.x, p.y, p.k as k from bnd b join pt p on p.map_id = b.map_id and p.way_id = b.l union all select b.map_id, b.rel_id, p.x, p.y, 1000000 - p.k from bnd b join pt p on p.map_id = b.map_id and p.way_id = b.r),
 r2 as (select *, coalesce(lag(x) over w, first_value(x) over (partition by map_id, rel_id order by k desc)) as jx, coalesce(lag(y) over w, first_value(y) over (partition by map_id, rel_id order by k desc)) as jy from ring window w as (partition by map_id, rel_id order by k)),
 ctr as (select map_id, rel_id, avg(x) + 0.0137 as cx, avg(y) + 0.0171 as cy from ring group by all)
 select map_id, rel_id, count(*) filter ((r.y > cy) <> (jy > cy) and cx < (jx - r.x) * (cy - r.y) / (jy - r.y + 1e-12) + r.x) % 2 = 1 as inside from r2 r join ctr using (map_id, rel_id) group by all""")

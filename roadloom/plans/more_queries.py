@@ -144,7 +144,7 @@ def cubics(spark, sf):
     return e.select("vec_id", F.col("i").cast("bigint").alias("i"), *[at(k).alias(c) for k, c in enumerate("abcd")])
 
 
-@query("p01_primitive_ends", """ select vec_id, i, round(case i % 3 when 0 then x + len * cos(h) when 1 then x + (sin(h + k * len) - sin(h)) / k else x + u * cos(h) - v * sin(h) end, 5) as x,
+@query("plan_p01_primitive_ends", """ select vec_id, i, round(case i % 3 when 0 then x + len * cos(h) when 1 then x + (sin(h + k * len) - sin(h)) / k else x + u * cos(h) - v * sin(h) end, 5) as x,
   round(case i % 3 when 0 then y + len * sin(h) when 1 then y + (cos(h) - cos(h + k * len)) / k else y + u * sin(h) + v * cos(h) end, 5) as y
 from (select *, a + b + c + d as u, d + c + b + a as v, a as x, b as y, c as h, 5 + d as len, 0.01 + b * b as k from poly)""", _CUBIC)
 def p01(spark, sf):
@@ -154,13 +154,13 @@ def p01(spark, sf):
     return g.withColumn("e", V.end_point(spirals=False)).select("vec_id", "i", F.round("e.x", 5).alias("x"), F.round("e.y", 5).alias("y"))
 
 
-@query("p03_cubic_values", " select vec_id, i, round(a + b * 0.5 + c * 0.25 + d * 0.125, 6) as v, round(b + c + 0.75 * d, 6) as s from poly", _CUBIC)
+@query("plan_p03_cubic_values", " select vec_id, i, round(a + b * 0.5 + c * 0.25 + d * 0.125, 6) as v, round(b + c + 0.75 * d, 6) as s from poly", _CUBIC)
 def p03(spark, sf):
     p = tuple(F.col(c) for c in "abcd")
     return cubics(spark, sf).select("vec_id", "i", F.round(V.value(p, F.lit(0.5)), 6).alias("v"), F.round(V.slope(p, F.lit(0.5)), 6).alias("s"))
 
 
-@query("p15_lanelet_area", """, ring as (select b.map_id, b.rel_id, p.x, p.y, p.k as k from bnd b join pt p on p.map_id = b.map_id and p.way_id = b.l union all select b.map_id, b.rel_id, p.x, p.y, 1000000 - p.k from bnd b join pt p on p.map_id = b.map_id and p.way_id = b.r),
+@query("geo_p15_lanelet_area", """, ring as (select b.map_id, b.rel_id, p.x, p.y, p.k as k from bnd b join pt p on p.map_id = b.map_id and p.way_id = b.l union all select b.map_id, b.rel_id, p.x, p.y, 1000000 - p.k from bnd b join pt p on p.map_id = b.map_id and p.way_id = b.r),
 r2 as (select *, coalesce(lead(x) over w, first_value(x) over w) as nx, coalesce(lead(y) over w, first_value(y) over w) as ny, count(*) over (partition by map_id, rel_id) as n from ring window w as (partition by map_id, rel_id order by k))
 select map_id, rel_id, round(case when any_value(n) >= 3 then abs(sum(x * ny - nx * y)) / 2 else 0 end + 1e-7, 4) as area from r2 group by all""")
 def p15(spark, sf):
@@ -180,10 +180,24 @@ def w18(spark, sf):
     return s.select("map_id", "rel_id", F.size(a).cast("bigint").alias("points"))
 
 
-@query("w05_window_turn")
+#: Points about a metre apart, headings, and the greatest turn within 20 m.
+_TURN = """rs as (select map_id, way_id, len, cast(greatest(1, round_even(len, 0)) as bigint) as m from len where n >= 3 and len > 0),
+rp0 as (
+  select r.map_id, r.way_id, i, any_value(r.m) as m, arg_min(struct_pack(x := c.x, y := c.y, nx := c.nx, ny := c.ny, l := c.l, d := d.l - c.l, t := r.len * i / r.m), c.k) as s
+  from (select *, unnest(range(m + 1)) as i from rs) r join cum c on c.map_id = r.map_id and c.way_id = r.way_id join cum d on d.map_id = c.map_id and d.way_id = c.way_id and d.k = c.k + 1
+  where d.l >= r.len * i / r.m or c.k = c.n - 1 group by r.map_id, r.way_id, i),
+rp as (select map_id, way_id, i, s.x + least(case when s.d > 0 then (s.t - s.l) / s.d else 0 end, 1) * (s.nx - s.x) as x, s.y + least(case when s.d > 0 then (s.t - s.l) / s.d else 0 end, 1) * (s.ny - s.y) as y from rp0),
+sg as (select map_id, way_id, i, lead(x) over w - x as dx, lead(y) over w - y as dy from rp window w as (partition by map_id, way_id order by i)),
+hd0 as (select *, sqrt(dx * dx + dy * dy) as d, case when dx <> 0 or dy <> 0 then atan2(dy, dx) end as h from sg where dx is not null),
+hd as (select *, coalesce(last_value(h ignore nulls) over (partition by map_id, way_id order by i rows between unbounded preceding and current row), 0) as hh from hd0),
+tn0 as (select *, hh - lag(hh) over (partition by map_id, way_id order by i) as q from hd),
+tn as (select map_id, way_id, i, sum(d) over w as r1, sum(d) over w - d as r0, sum(coalesce(abs(degrees((q + pi()) - 2 * pi() * floor((q + pi()) / (2 * pi())) - pi())), 0)) over w as t from tn0 window w as (partition by map_id, way_id order by i)),
+turn as (select a.map_id, a.way_id, max(a.t - b.t) as turn from tn a join tn b on b.map_id = a.map_id and b.way_id = a.way_id and b.i <= a.i and b.i >= a.i - 80 and (b.r0 >= a.r1 - 20 - 1e-9 or b.i = a.i) group by all)"""
+
+
+@query("w05_window_turn", ", " + _TURN + " select map_id, way_id, round(coalesce(turn, 0.0) + 1e-7, 4) as turn from len left join turn using (map_id, way_id)")
 def w05(spark, sf):
-    """The greatest turn within 20 m; sequential, so checked by tests only."""
-    return map_tables(spark, sf).polylines.select("map_id", "way_id", F.round(R.max_turn(xy("pts")), 4).alias("turn"))
+    return map_tables(spark, sf).polylines.select("map_id", "way_id", F.round(R.max_turn(xy("pts")) + 1e-7, 4).alias("turn"))
 
 
 @query("w12_cut_fractions")
@@ -421,3 +435,23 @@ def s15(spark, sf):
 
     n = current(spark, sf, "osm_node", ["map_id", "node_id"]).select("map_id", "node_id", F.col("node_id").alias("ord"), "lat", "lon", F.create_map(F.lit("local_x"), F.lit("0"), F.lit("local_y"), F.lit("0")).alias("tags"))
     return node_samples(n, 100).select("map_id", "node_id")
+
+
+SQL["check_vm_01_24"] = f"""with recursive {BASE}{_CC}, {_TURN},
+bx as (select l.map_id, l.rel_id, b.l, b.r, b.l is null or b.r is null or coalesce(subtype in ('walkway', 'crosswalk'), false) or turn_direction is not null as ex from ll l left join bnd b using (map_id, rel_id)),
+u as (select x.map_id, way_id, ex, c from (select map_id, rel_id, ex, unnest([l, r]) as way_id from bx) x join comp k on k.map_id = x.map_id and k.n = 'w' || way_id),
+wy as (select u.map_id, way_id, not any_value(blocked) as cuttable, bool_or(not ex) as graded from u join (select map_id, c, bool_or(ex) as blocked from u group by all) b on b.map_id = u.map_id and b.c = u.c group by u.map_id, way_id),
+found as (select map_id, count(*) as total, count(*) filter (cuttable and (len > 100 or len > 20 and coalesce(turn, 0) > 4)) as bad from wy join len using (map_id, way_id) left join turn using (map_id, way_id) where graded and len.n >= 2 group by map_id)
+select m.map_id, 'vm-01-24' as req_id, case when coalesce(total, 0) = 0 then 'SKIP' when bad = 0 then 'PASS' else 'FAIL' end as status, cast(coalesce(bad, 0) as bigint) as offenders, cast(coalesce(total, 0) as bigint) as total from maps m left join found using (map_id)"""
+
+SQL["g11_rebuild"] = f"""with recursive {_ROADS},
+e1 as (select * from ed e where exists (select 1 from rd r where r.map_id = e.map_id and r.road_id = e.src_road and length > 0 and not isnan(length)) and exists (select 1 from rd r where r.map_id = e.map_id and r.road_id = e.dst_road and length > 0 and not isnan(length))),
+k0 as (select *, count(*) over (partition by map_id, src_road, src_lane) > 1 or count(*) over (partition by map_id, dst_road, dst_lane) > 1 as first_ from e1),
+k as (select *, case when src_lane < 0 then 'end' else 'start' end as side, case when dst_lane < 0 then 'start' else 'end' end as entry, first_ or count(distinct case when first_ then -1 else dst_road end) over (partition by map_id, src_road, src_lane < 0) > 1 as stub from k0),
+slots as (select distinct map_id, src_road as road_id, side from k),
+om as (select p.map_id, s.road_id is null and row_number() over (partition by p.map_id, p.dst_road, p.entry order by ord) = 1 as ok from k p left join slots s on s.map_id = p.map_id and s.road_id = p.dst_road and s.side = p.entry where not stub),
+je as (select map_id, src_road || '/' || side as a, dst_road || '/' || entry as b from k where stub), bi as (select map_id, a, b from je union select map_id, b, a from je),
+reach as (select map_id, a as n, a as r from bi union select b.map_id, b.b, q.r from reach q join bi b on b.map_id = q.map_id and b.a = q.n),
+cl as (select map_id, count(distinct r) as junctions from (select map_id, n, min(r) as r from reach group by all) group by all)
+select cast(k.map_id as varchar) as map_id, count(*) as edges, count(*) filter (not stub) as plain_links, coalesce((select count(*) from om where om.map_id = k.map_id and not ok), 0) as entry_links_omitted, count(*) filter (stub) as stubs, coalesce((select junctions from cl where cl.map_id = k.map_id), 0) as junctions
+from k group by k.map_id"""
