@@ -190,7 +190,7 @@ def shared_spans(documents: DataFrame, span: int = SPAN, width: int = ANCHOR, gr
     context = near.groupBy("anchor", "context").agg(F.min(F.struct("doc_id", "lo", "n")).alias("_at"), F.max("doc_id").alias("doc_hi"), (F.count("*") > 1).alias("again"))
     context = store.save(context.select("anchor", "context", F.col("_at.doc_id").alias("doc_lo"), "doc_hi", "_at.lo", "_at.n", "again"), "contexts")
     held = context.where("doc_lo < doc_hi").select("anchor", "context", F.lit(True).alias("whole"))
-    whole = relay_join(near, held, ["anchor", "context"], F.col("doc_id")).where("whole").select("doc_id", F.col("lo").alias("start"), (F.col("lo") + F.col("n") - 1 + span).alias("end"))
+    whole = relay_join(near, held, ["anchor", "context"], F.struct("doc_id", "lo")).where("whole").select("doc_id", F.col("lo").alias("start"), (F.col("lo") + F.col("n") - 1 + span).alias("end"))
     # only anchors with an open context need their texts
     sizes = context.groupBy("anchor").agg(F.count("*").alias("size"), F.max(F.expr("doc_lo = doc_hi")).alias("open")).where("open and size > 1").drop("open")
     open_ = relay_join(context, sizes, ["anchor"], F.col("context")).where("size is not null")
