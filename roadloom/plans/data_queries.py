@@ -60,4 +60,25 @@ res as (
   from cur c left join par p on p.kind = c.kind and p.map_id = c.map_id and p.k = c.k
   where c.kind is not null and trim(c.t, ' \t\n\r') <> '')
 select ref_table, ref_id, reason, period from res where reason is not null""",
+    "p4_found": r"""with cur as (select * from raw_map_record qualify row_number() over (partition by record_id order by loaded_at desc) = 1),
+ok as (select record_id, kind, payload from cur where payload is not null and json_valid(payload)),
+t as (select o.record_id, o.kind, j.key, j.fullkey, j.path, j.type, trim(j.atom ->> '$', ' ' || chr(9) || chr(10) || chr(13)) as v from ok o, json_tree(o.payload) j),
+att as (select record_id, path, max(v) filter (key in ('id', '@id', '_id')) as id, max(v) filter (key in ('sOffset', '@sOffset', '_sOffset')) as s, max(v) filter (key in ('connectingRoad', '@connectingRoad', '_connectingRoad')) as road,
+  max(v) filter (key in ('from', '@from', '_from')) as f, max(v) filter (key in ('to', '@to', '_to')) as o, max(v) filter (key in ('role', '@role', '_role')) as role from t where path is not null group by all),
+el as (select record_id, kind, fullkey, coalesce(try_cast(regexp_extract(fullkey, '\[(\d+)\]$', 1) as int), 0) as pos, regexp_extract(fullkey, '^(.*)\.\w+(?:\[\d+\])?$', 1) as up from t where type = 'OBJECT'),
+top as (select record_id, kind, fullkey from el where regexp_full_match(fullkey, '.*\.' || kind || '(\[\d+\])?')),
+lane as (
+  select e.record_id, e.fullkey, coalesce(r.id, '') || '/' || coalesce(nullif(regexp_extract(e.fullkey, '\.laneSection\[(\d+)\]\.\w+\.lane(?:\[\d+\])?$', 1), ''), '0') || '/' || regexp_extract(e.fullkey, '\.(left|center|right)\.lane(?:\[\d+\])?$', 1) || '/' || coalesce(a.id, '') as parent
+  from el e join top p on p.record_id = e.record_id and p.kind = 'road' and regexp_full_match(substr(e.fullkey, len(p.fullkey) + 1), '\.lanes\.laneSection(\[\d+\])?\.(left|center|right)\.lane(\[\d+\])?') and starts_with(e.fullkey, p.fullkey)
+  left join att r on r.record_id = p.record_id and r.path = p.fullkey left join att a on a.record_id = e.record_id and a.path = e.fullkey),
+con as (
+  select e.record_id, e.fullkey, coalesce(r.id, '') as parent, e.pos, coalesce(a.road, '') as val
+  from el e join top p on p.record_id = e.record_id and p.kind = 'junction' and e.up = p.fullkey and regexp_full_match(e.fullkey, '.*\.connection(\[\d+\])?') left join att r on r.record_id = p.record_id and r.path = p.fullkey left join att a on a.record_id = e.record_id and a.path = e.fullkey)
+select distinct e.record_id, case when regexp_full_match(e.fullkey, '.*\.width(\[\d+\])?') then 'width' else 'road_mark' end as elem, l.parent, e.pos,
+  case when regexp_full_match(a.s, '[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?') then cast(cast(round_even(cast(a.s as double) * 1000, 0) as bigint) as varchar) else '' end as val
+from el e join lane l on l.record_id = e.record_id and l.fullkey = e.up and regexp_full_match(e.fullkey, '.*\.(width|roadMark)(\[\d+\])?') left join att a on a.record_id = e.record_id and a.path = e.fullkey
+union all select distinct record_id, 'connection', parent, pos, val from con
+union all select distinct e.record_id, 'lane_link', c.parent || '/' || c.pos, e.pos, coalesce(a.f, '') || ':' || coalesce(a.o, '') from el e join con c on c.record_id = e.record_id and c.fullkey = e.up and regexp_full_match(e.fullkey, '.*\.laneLink(\[\d+\])?') left join att a on a.record_id = e.record_id and a.path = e.fullkey
+union all select distinct e.record_id, 'member', coalesce(r.id, ''), e.pos, coalesce(a.role, '') from el e join top p on p.record_id = e.record_id and p.kind = 'relation' and e.up = p.fullkey and regexp_full_match(e.fullkey, '.*\.member(\[\d+\])?')
+  left join att r on r.record_id = p.record_id and r.path = p.fullkey left join att a on a.record_id = e.record_id and a.path = e.fullkey""",
 }
