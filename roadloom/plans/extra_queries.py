@@ -239,3 +239,15 @@ def k12(spark, sf):
 @query("k17_output_stems", r"select doc_id, regexp_extract(path, '([^/]+?)(\.[^./]*)?$', 1) as stem from documents where path is not null", "")
 def k17(spark, sf):
     return spark.read.parquet(f"{sf}/documents.parquet").where("path is not null").select("doc_id", W.output_stem(F.col("path")).alias("stem"))
+
+
+@query("g08_adjacency")
+def g08(spark, sf):
+    """Lanelets that share a boundary as neighbours, after the adjacency rules; ids are text."""
+    t = map_tables(spark, sf)
+    text = lambda c: F.col(c).cast("string").alias(c)
+    near = lambda a, b, name: t.bounds.select("map_id", F.col("rel_id").alias(name), F.col(b).alias(a)).where(f"{a} is not null").groupBy("map_id", a).agg(F.max(name).alias(name))
+    s = t.shaped.where("size(lp) > 1 and size(rp) > 1").join(near("left", "right", "l"), ["map_id", "left"], "left").join(near("right", "left", "r"), ["map_id", "right"], "left")
+    axis = lambda p, c: F.transform(p, lambda q: q[c])
+    s = s.select(text("map_id"), text("rel_id"), "ord", F.col("l").cast("string").alias("left"), F.col("l").isNotNull().alias("left_same"), F.col("r").cast("string").alias("right"), F.col("r").isNotNull().alias("right_same"), axis("lp", "x").alias("lx"), axis("lp", "y").alias("ly"), axis("rp", "x").alias("rx"), axis("rp", "y").alias("ry"))
+    return L.sanitize_adjacency(s)
