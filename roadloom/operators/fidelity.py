@@ -197,23 +197,24 @@ def dead_end_lanes(waypoints: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def dead_end_ahead(starts: DataFrame, links: DataFrame, hops: int = 40) -> DataFrame:
-    """(map_id, wp_id, dead_end): whether any path of at most ``hops`` links from a waypoint ends. The frontier is a
-    distinct set, so cycles and branches do not multiply it."""
-    ends = lambda df: df.join(links.select(MAP, F.col("src").alias("at")).distinct(), [MAP, "at"], "left_anti")
-    start = starts.select(MAP, "wp_id").distinct()
-    front, found = start.withColumn("at", F.col("wp_id")), None
-    step = links.select(MAP, F.col("src").alias("at"), F.col("dst").alias("to")).distinct()
+    """(map_id, wp_id, dead_end): whether any path of at most ``hops`` links from a waypoint ends. Walked backwards from
+    the ends, level by level: every waypoint is met once, however many paths lead from it, and the walk is over when a
+    level brings no new ones."""
     from roadloom.storage import Scratch
 
     store = Scratch(starts.sparkSession, "reach")
-    for hop in range(hops):
-        stuck = ends(front).select(MAP, "wp_id").distinct()
-        found = store.save(stuck if found is None else found.union(stuck).distinct(), f"found-{hop}")
-        front = front.join(found, [MAP, "wp_id"], "left_anti").join(step, [MAP, "at"]).select(MAP, "wp_id", F.col("to").alias("at")).distinct()
-        front = store.save(front, f"front-{hop}")
+    start = store.save(starts.select(MAP, "wp_id").distinct(), "start")
+    step = store.save(links.select(MAP, F.col("src").alias("at"), F.col("dst").alias("to")).distinct(), "step")
+    every = start.select(MAP, F.col("wp_id").alias("at")).union(step.select(MAP, "to")).distinct()
+    found = front = store.save(every.join(step, [MAP, "at"], "left_anti"), "level-0")
+    for hop in range(1, hops):
+        before = step.join(front.select(MAP, F.col("at").alias("to")), [MAP, "to"], "left_semi").select(MAP, "at").distinct()
+        front = store.save(before.join(found, [MAP, "at"], "left_anti"), f"level-{hop}")
         if not front.limit(1).count():
             break
-    return start.join(found.withColumn("dead_end", F.lit(True)), [MAP, "wp_id"], "left").fillna(False, ["dead_end"])
+        found = found.union(front)
+    ends = found.select(MAP, F.col("at").alias("wp_id"), F.lit(True).alias("dead_end"))
+    return start.join(ends, [MAP, "wp_id"], "left").fillna(False, ["dead_end"])
 
 
 def repeated_edges(topology: DataFrame) -> DataFrame:

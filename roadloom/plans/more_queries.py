@@ -352,7 +352,7 @@ select map_id, n as wp_id, bool_or(not exists (select 1 from st s where s.map_id
 def g10(spark, sf):
     e = L.valid_edges(edges(spark, sf), lanes(spark, sf)).select("map_id", F.col("src_road").alias("src"), F.col("dst_road").alias("dst")).distinct()
     starts = e.select("map_id", F.col("src").alias("wp_id")).union(e.select("map_id", "dst"))
-    return D.dead_end_ahead(starts, e, hops=4)
+    return D.dead_end_ahead(starts, e)
 
 
 @query("j22_lane_graph", """ select c.map_id, c.incoming_road as src_road, -1 as src_lane, c.connecting_road as dst_road, -1 as dst_lane, c.ord from cn c where exists (select 1 from rd r where r.map_id = c.map_id and r.road_id = c.incoming_road) and exists (select 1 from rd r where r.map_id = c.map_id and r.road_id = c.connecting_road)""", _ROADS)
