@@ -1,14 +1,19 @@
-"""Fitting, checking and choosing a map's projection from its nodes: aggregates in Spark, one row to the driver."""
+"""Fitting, checking and choosing a map's projection from its nodes: aggregates in Spark, one row to the driver for one
+map, one row per map for many."""
 
 from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadloom import model as M
 from roadloom.functions import geo as G
+from roadloom.operators.skew import relay_join
+from roadloom.storage import Scratch
+
+MAP = "map_id"
 
 
 def candidates(lat: float, lon: float) -> list[tuple[str, G.Tmerc | None]]:
@@ -47,6 +52,46 @@ def fit_projection(samples: DataFrame) -> G.Projection | None:
     return G.Projection(t.text, t.text, name, t.lat_0, t.lon_0, t.k, fit_rmse=row[f"e{best}"])
 
 
+def _spread(samples: DataFrame, per_map: DataFrame) -> DataFrame:
+    return relay_join(samples, per_map, [MAP], F.xxhash64("lat", "lon", "x", "y"))
+
+
+def fit_projections(samples: DataFrame) -> DataFrame:
+    """(map_id, candidate, source, rmse, max_error, nodes): ``fit_projection`` for every map of ``samples`` (map_id, lat,
+    lon, x, y) at once, each with the zone and hemisphere of its own mean place, which are columns here.
+
+    The candidate is the best one of the map, with its root mean square error and its greatest node error, both after
+    the mean residual is taken off; source names it only where it is accepted. A map of fewer than two nodes has neither.
+    """
+    n = Scratch(samples.sparkSession, "fit").save(samples.dropna(), "samples")
+    mean = n.groupBy(MAP).agg(F.avg("lat").alias("lat"), F.avg("lon").alias("lon"), F.count("*").alias("nodes"))
+    zone = mean.where("nodes > 1").select(MAP, (F.col("lat") < 0).alias("south"), G.utm_zone(F.col("lon")).alias("zone"))
+    tried = [0, -1, 1, None]  # zones beside the map's own; none is Web Mercator
+
+    def utm(zone: Column) -> tuple:
+        t = G.Tmerc(0.0, G.central_meridian(zone), M.UTM_SCALE, 500000.0, F.when(F.col("south"), 10000000.0).otherwise(0.0))
+        return t.forward(F.col("lat"), F.col("lon"))
+
+    mercator = G.web_mercator(F.col("lat"), F.col("lon"))
+    aggs = []
+    for i, step in enumerate(tried):
+        px, py = mercator if step is None else utm(F.col("zone") + step)
+        rx, ry = F.col("x") - px, F.col("y") - py
+        aggs += [F.avg(rx).alias(f"dx{i}"), F.avg(ry).alias(f"dy{i}"), F.sqrt(F.var_pop(rx) + F.var_pop(ry)).alias(f"e{i}")]
+    errors = _spread(n, zone).where("zone is not null").groupBy(MAP, "zone", "south").agg(*aggs)
+    name = lambda step: F.lit("fit-webmercator") if step is None else F.concat(F.lit("fit-utm"), F.col("zone") + step, F.when(F.col("south"), "S").otherwise("N"))
+    there = lambda step: F.lit(True) if step is None else (F.col("zone") + step).between(1, 60)
+    of = lambda i, step: F.when(there(step), F.struct(F.col(f"e{i}").alias("rmse"), F.lit(i).alias("nth"), (F.lit(None).cast("int") if step is None else F.col("zone") + step).alias("at"), name(step).alias("candidate"), F.col(f"dx{i}").alias("dx"), F.col(f"dy{i}").alias("dy")))
+    best = errors.select(MAP, "south", F.least(*[of(i, step) for i, step in enumerate(tried)]).alias("b")).select(MAP, "south", "b.*")
+    best = Scratch(samples.sparkSession, "fit").save(best, "best")
+    off = lambda px, py: F.hypot(px + F.col("dx") - F.col("x"), py + F.col("dy") - F.col("y"))
+    far = F.when(F.col("at").isNull(), off(*mercator)).otherwise(off(*utm(F.col("at"))))
+    worst = _spread(n, best).where("nth is not null").groupBy(MAP).agg(F.max(far).alias("max_error"))
+    fits = best.join(worst, MAP).select(MAP, "candidate", F.when(F.col("rmse") <= M.FIT_ACCEPT, F.col("candidate")).alias("source"), "rmse", "max_error")
+    every = samples.select(MAP).distinct().join(mean.select(MAP, "nodes"), MAP, "left").fillna(0, ["nodes"])
+    return every.join(fits, MAP, "left").select(MAP, "candidate", "source", "rmse", "max_error", "nodes")
+
+
 def projected(text: str, lat, lon, m=G.COLUMNS):
     """Coordinates of a supported projection text."""
     t = G.parse_tmerc(text)

@@ -12,9 +12,8 @@ from roadloom.operators import links as L
 from roadloom.operators import map_checks as C
 from roadloom.operators import maptables as T
 from roadloom.operators import passes as X
-from roadloom.functions import geo as G
 from roadloom.operators.keys import read_decimal
-from roadloom.operators.projection import candidates
+from roadloom.operators.projection import fit_projections
 from roadloom.plans.carriers import current, map_tables
 from roadloom.plans.map_queries import _PAIRS, BASE
 from roadloom.plans.more_queries import _ROADS, connections, degrees, edges, lanes, links, roads
@@ -149,16 +148,10 @@ def a41(spark, sf):
 
 @query("a42_projection_fit")
 def a42(spark, sf):
-    """The best of the candidate projections for the nodes of each map, with its error; maps are few,
-    and each is fitted by one aggregate."""
+    """The best of each map's own candidate projections with its errors, and whether it is accepted."""
     n = current(spark, sf, "osm_node", ["map_id", "node_id"])
-    n = n.select("map_id", "lat", "lon", read_decimal(F.col("local_x")).alias("x"), read_decimal(F.col("local_y")).alias("y")).dropna()
-    out = None
-    for name, t in candidates(11.0, 23.0):
-        px, py = t.forward(F.col("lat"), F.col("lon")) if t else G.web_mercator(F.col("lat"), F.col("lon"))
-        one = n.groupBy("map_id").agg(F.lit(name).alias("source"), F.sqrt(F.var_pop(F.col("x") - px) + F.var_pop(F.col("y") - py)).alias("rmse"))
-        out = one if out is None else out.unionByName(one)
-    return out.groupBy("map_id").agg(F.min_by("source", "rmse").alias("source"), F.round(F.min("rmse"), 4).alias("rmse"))
+    n = n.select("map_id", "lat", "lon", read_decimal(F.col("local_x")).alias("x"), read_decimal(F.col("local_y")).alias("y"))
+    return fit_projections(n).select("map_id", "candidate", "source", F.round("rmse", 4).alias("rmse"), F.round("max_error", 4).alias("max_error"), "nodes")
 
 
 @query("a44_map_centres", " select map_id, round_even((min(lat) + max(lat)) / 2, 6) as lat, round_even((min(lon) + max(lon)) / 2, 6) as lon from (select * from node0 where lat is not null and lon is not null) group by map_id")

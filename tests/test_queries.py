@@ -2,6 +2,11 @@
 
 import random
 
+import numpy as np
+import pytest
+
+from roadloom.functions import geo as G
+from roadloom.operators.projection import fit_projection
 from roadloom.plans.registry import QUERIES
 from tests.conftest import rows
 
@@ -36,3 +41,25 @@ def test_dead_end_ahead_looks_forty_links_far(spark, tmp_path):
     got = rows(QUERIES["g10_dead_end_ahead"](spark, str(tmp_path)).select("map_id", "wp_id", "dead_end"))
     assert got == sorted(want, key=str)
     assert (1, 21, True) in got and (1, 20, False) in got
+
+
+def test_every_map_is_fitted_in_its_own_zone(spark, tmp_path):
+    rng = np.random.default_rng(42)
+    nodes, want = [], {}
+    for m, (lat, lon, t, noise) in enumerate([(-33.9, 151.2, G.Tmerc.utm(56, True), 0), (35.6, -122.1, G.Tmerc.utm(10), 0), (49.0, 8.4, None, 0), (11.0, 23.0, G.Tmerc.utm(34), 0), (11.0, 179.9, G.Tmerc.utm(60), 0), (11.0, 23.0, G.Tmerc.utm(34), 5), (52.0, 5.9, G.Tmerc.utm(32), 0)]):
+        lat, lon = lat + rng.random(40) / 100, lon + rng.random(40) / 100
+        x, y = t.forward(lat, lon, G.NUMBERS) if t else G.web_mercator(lat, lon, G.NUMBERS)
+        x = x - 1234.5 + rng.normal(0, noise, 40)
+        places = list(zip(*(v.tolist() for v in (lat, lon, x, y + 77.25))))
+        nodes += [(m, k, a, b, repr(c), repr(d)) for k, (a, b, c, d) in enumerate(places)]
+        fit = fit_projection(spark.createDataFrame(places, "lat double, lon double, x double, y double"))
+        want[m] = fit.source if fit else None
+    nodes += [(7, 1, 1.0, 2.0, "3", "4"), (7, 2, None, 2.0, "3", "4"), (8, 1, 1.0, 2.0, "east", "4")]
+    df = spark.createDataFrame(nodes, "map_id long, node_id long, lat double, lon double, local_x string, local_y string")
+    df.selectExpr("*", "'0' as ele", "timestamp'2024-01-01' as loaded_at").write.parquet(f"{tmp_path}/osm_node.parquet")
+    got = {r["map_id"]: r for r in QUERIES["a42_projection_fit"](spark, str(tmp_path)).collect()}
+    assert [want[m] for m in range(7)] == ["fit-utm56S", "fit-utm10N", "fit-webmercator", "fit-utm34N", "fit-utm60N", None, "fit-utm32N"]
+    assert {m: r["source"] for m, r in got.items()} == want | {7: None, 8: None}
+    assert got[5]["candidate"] is not None and got[5]["rmse"] > 1 and got[5]["max_error"] > got[5]["rmse"]
+    assert all(got[m]["max_error"] == pytest.approx(0.0, abs=1e-3) for m in want if want[m])
+    assert [got[m]["nodes"] for m in (0, 7, 8)] == [40, 1, 0]
