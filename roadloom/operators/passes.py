@@ -101,7 +101,7 @@ def repair_ends(t: MapTables, limit: float = M.TELEPORT) -> tuple[MapTables, Dat
     pts = F.array_sort(F.collect_list(F.struct("seq", "lat", "lon"))).alias("pts")
     ways = at.groupBy(MAP, "way_id").agg(pts).join(owner_sets(t).where("repairable"), [MAP, "way_id"], "left_semi")
     ways = ways.where((F.size("pts") >= 3) & F.forall("pts", lambda p: p["lat"].isNotNull() & p["lon"].isNotNull()))
-    end = lambda i: F.element_at("pts", i)
+    end = lambda i: F.try_element_at("pts", F.lit(i))  # noqa: E731  (the test of the size may come after)
     far = lambda a, b: G.haversine(end(a)["lat"], end(a)["lon"], end(b)["lat"], end(b)["lon"], M.EARTH_RADIUS_REPAIR) > limit
     ways = ways.select(MAP, "way_id", F.when(far(1, 2), end(1)["seq"]).alias("head"), F.when(far(-1, -2), end(-1)["seq"]).alias("tail"), F.size("pts").alias("n"))
     ways = ways.withColumn("drop", F.array_compact(F.array("head", "tail"))).where((F.size("drop") > 0) & (F.col("n") - F.size("drop") >= 2))

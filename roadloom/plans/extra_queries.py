@@ -82,7 +82,7 @@ select map_id, count(*) as ways_trimmed, cast(sum(d) as bigint) as endpoints_dro
 def f13(spark, sf):
     t = map_tables(spark, sf)
     t.node = t.node.join(degrees(spark, sf), ["map_id", "node_id"], "left")
-    return X.repair_ends(t, 3.0)[1].withColumn("endpoints_dropped", F.col("endpoints_dropped").cast("bigint"))
+    return X.repair_ends(t)[1].withColumn("endpoints_dropped", F.col("endpoints_dropped").cast("bigint"))
 
 
 @query("f27_valid_edges", " select map_id, src_road, src_lane, dst_road, dst_lane, ord from ed", _ROADS)

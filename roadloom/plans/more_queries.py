@@ -434,7 +434,7 @@ def s15(spark, sf):
     from roadloom.sources.osm_xml import node_samples
 
     n = current(spark, sf, "osm_node", ["map_id", "node_id"]).select("map_id", "node_id", F.col("node_id").alias("ord"), "lat", "lon", F.create_map(F.lit("local_x"), F.lit("0"), F.lit("local_y"), F.lit("0")).alias("tags"))
-    return node_samples(n, 100).select("map_id", "node_id")
+    return node_samples(n).select("map_id", "node_id")
 
 
 SQL["check_vm_01_24"] = f"""with recursive {BASE}{_CC}, {_TURN},

@@ -63,3 +63,23 @@ def test_every_map_is_fitted_in_its_own_zone(spark, tmp_path):
     assert got[5]["candidate"] is not None and got[5]["rmse"] > 1 and got[5]["max_error"] > got[5]["rmse"]
     assert all(got[m]["max_error"] == pytest.approx(0.0, abs=1e-3) for m in want if want[m])
     assert [got[m]["nodes"] for m in (0, 7, 8)] == [40, 1, 0]
+
+
+def test_node_samples_are_up_to_two_thousand_a_map(spark, tmp_path):
+    n = spark.range(5000).selectExpr("1L as map_id", "id as node_id", "1.0d as lat", "2.0d as lon", "'3' as local_x", "'4' as local_y", "'0' as ele", "timestamp'2024-01-01' as loaded_at")
+    n.write.parquet(f"{tmp_path}/osm_node.parquet")
+    assert sorted(r["node_id"] for r in QUERIES["s15_node_samples"](spark, str(tmp_path)).collect()) == list(range(0, 5000, 2))
+
+
+def test_only_ends_beyond_thirty_metres_are_cut(spark, tmp_path):
+    now = ["timestamp'2024-01-01' as loaded_at", "cast(null as timestamp) as deleted_at"]
+    metres = {1: [0, 10, 20, 30], 2: [0, 1, 2, 42], 3: [0, 40, 41, 42, 90]}  # steps of 10 m stay, steps of over 30 m at the ends go
+    nodes = [(m, 10 * m + k, at / 111319.49, 0.0) for m in metres for k, at in enumerate(metres[m])]
+    spark.createDataFrame(nodes, "map_id long, node_id long, lat double, lon double").selectExpr("*", "'1' as local_x", "'1' as local_y", "'0' as ele", now[0]).write.parquet(f"{tmp_path}/osm_node.parquet")
+    ways = [(m, 5, [(str(10 * m + k),) for k in range(len(metres[m]))]) for m in metres]
+    spark.createDataFrame(ways, "map_id long, way_id long, nd array<struct<ref:string>>").selectExpr("*", "'' as way_type", "'' as subtype", "'' as lane_change", *now).write.parquet(f"{tmp_path}/osm_way.parquet")
+    rel = spark.createDataFrame([(m, 7) for m in metres], "map_id long, rel_id long")
+    rel.selectExpr("*", "'lanelet' as rel_type", "'walkway' as subtype", "'' as location", "'' as one_way", "'' as speed_limit", "cast(null as string) as turn_direction", *now).write.parquet(f"{tmp_path}/osm_relation.parquet")
+    rel.selectExpr("map_id as member_id", "*", "0 as seq", "'way' as mtype", "'5' as ref", "'left' as role", now[0]).write.parquet(f"{tmp_path}/osm_member.parquet")
+    got = QUERIES["f13_repaired_ends"](spark, str(tmp_path)).select("map_id", "ways_trimmed", "endpoints_dropped")
+    assert rows(got) == [(2, 1, 1), (3, 1, 2)]
