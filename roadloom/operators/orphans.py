@@ -1,4 +1,4 @@
-"""References to records that are missing, deleted or arrive later, kept as incremental keyed state."""
+"""References to records that are missing, deleted or arrive later, kept as tables that grow with arrivals."""
 
 from __future__ import annotations
 
@@ -41,10 +41,10 @@ class ReferenceLedger:
     """Orphan state that grows with arrivals.
 
     The state is two tables: ``parents``, the index of all records (key, first load, last load, deleted), and ``refs``,
-    the current row of every reference. ``advance`` takes the rows that arrived since, in any order: new references
-    probe the index, arriving records resolve what waited for them, deletions reopen it. Both tables are written to the
-    shared folder at every step, so lineage stays short and a lost executor costs a task, not the state; the former
-    step is deleted once the next stands. ``cases`` and ``snapshot`` read the state as it is.
+    the current row of every reference. ``advance`` merges the rows that arrived since, in any order, and judges nothing.
+    Both tables are written whole to the shared folder at every step, so lineage stays short and a lost executor costs a
+    task, not the state; the former step is deleted once the next stands. ``cases`` and ``snapshot`` join all references
+    of the state with all its records, so a record that came later or was deleted since counts as it stands.
 
     Rows with a null ``ref_table``/``ref_id`` are kept as references of that null key; a null ``key`` (an id that reads
     as none) can meet no record. Repeated rows change nothing. Empty batches are allowed.
