@@ -146,9 +146,9 @@ def segment_distance(px: Column, py: Column, ax: Column, ay: Column, bx: Column,
 def nearest_segment(points: DataFrame, segments: DataFrame, cell: float, rings: int = 12) -> DataFrame:
     """(map_id, point_id, dist): the distance of each point from the nearest segment of its map; infinite without any.
 
-    Expanding rings: a segment stands in every cell its box covers; points probe cells within 1, 2, 4 ... cells, and a
-    distance counts once it is within the probed ring. What is still open after ``rings`` doublings is compared with all
-    segments of its map, which only stray points are.
+    Rings of 1 and 4 cells: a segment stands in every cell its box covers; points probe the cells within the ring, and a
+    distance counts once it is within it. What is still open is compared with all segments of its map. ``rings`` is not
+    used: there are always two.
     """
     box = lambda f, a, b: f(F.col(a), F.col(b))
     span = lambda a, b: F.explode(F.sequence(F.floor(box(F.least, a, b) / cell), F.floor(box(F.greatest, a, b) / cell)))
