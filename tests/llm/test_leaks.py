@@ -1,9 +1,12 @@
+import pickle
 import random
 import re
+import tracemalloc
 
+import numpy as np
 import pytest
 
-from roadloom.llm.leaks import leaked_items
+from roadloom.llm.leaks import LeakIndex, leaked_items, minhashes
 from tests.conftest import rows
 
 WORDS = [f"w{i}" for i in range(40)]
@@ -47,3 +50,33 @@ def test_limits_and_repeats(spark):
     d, i = frames(spark, docs, items)
     assert leaked_items(d, i.limit(0)).count() == 0
     assert leaked_items(d.limit(0), i).count() == 0
+
+
+def test_minhashes_choose_the_candidates(spark):
+    value = np.random.default_rng(1).integers(0, 1 << 60, 50_000).astype(np.uint64)
+    place, low = minhashes(value, np.zeros(len(value), np.int64), 12, 5)
+    assert len(place) < len(value) / 4 and (np.diff(place) > 0).all() and place[-1] >= len(value) - 12
+    index = LeakIndex([(1, " ".join(WORDS))])
+    index.low = index.low[:0]  # without MinHashes nothing is found
+    assert index.search([(1, " ".join(WORDS))]) == {}
+
+
+def test_one_passage_in_most_items(spark):
+    common = " ".join(WORDS[:14])
+    items = [(i, f"{common} tail{i} " + " ".join(f"x{i}y{k}" for k in range(20))) for i in range(3000)]
+    index = LeakIndex(items)
+    got = index.search([(7, "q " * 50 + common + " z"), (8, " ".join(WORDS[:11]))])
+    assert len(got) == 3000 and set(got.values()) == {3} and {d for d, _ in got} == {7}
+
+
+def test_memory_of_a_full_index():
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(1, 9))) for _ in range(5000)]
+    items = [(i, " ".join(rng.choice(words) for _ in range(300))) for i in range(9000)]
+    items = items[: next((k for k, total in enumerate(np.cumsum([len(t) for _, t in items])) if total > 16_000_000), len(items))]
+    tracemalloc.start()
+    index = LeakIndex(items)
+    assert tracemalloc.get_traced_memory()[1] < 600e6
+    tracemalloc.stop()
+    size = len(pickle.dumps(index))
+    assert size / sum(len(t) for _, t in items) < 9 and size < 150e6
