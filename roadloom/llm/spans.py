@@ -78,6 +78,33 @@ def _anchor_rows(span: int, width: int):
     return run
 
 
+CUT = "anchor bigint, context bigint, salt int, split boolean, doc_lo bigint, doc_hi bigint, lo int, n int, again boolean, text string"
+
+
+def _cut_out(span: int):
+    """Texts with the places wanted of each -> the texts of these places. A text is gone through once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs, texts, places = batch.column(0).to_numpy(), batch.column(1).to_pylist(), batch.column(2).flatten()
+            of = np.repeat(np.arange(len(docs)), batch.column(2).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+            lo, n = (places.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("lo", "n"))
+            end = lo + n + span - 1
+            size = np.cumsum(end - lo)
+            cuts = np.r_[0, np.flatnonzero(np.diff(size // _CHUNK)) + 1, len(of)]
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if a < b:
+                    text = [texts[i][x:y] for i, x, y in zip(of[a:b].tolist(), lo[a:b].tolist(), end[a:b].tolist())]
+                    part = places.slice(a, b - a)
+                    own = {"doc_lo": pa.array(docs[of[a:b]]), "text": pa.array(text, pa.string())}
+                    yield pa.RecordBatch.from_arrays([own[c] if c in own else part.field(c) for c in _CUT_NAMES], _CUT_NAMES)
+
+    return run
+
+
+_CUT_NAMES = [c.split()[0] for c in CUT.split(", ")]
+
+
 def _window_keys(texts: list[str], counts: np.ndarray, span: int) -> tuple[np.ndarray, ...]:
     """(context number, window number, window hash) of all windows of contexts. Equal windows of one anchor hold it at
     equal places, so the window's text alone decides."""
@@ -196,9 +223,11 @@ def shared_spans(documents: DataFrame, span: int = SPAN, width: int = ANCHOR, gr
     open_ = relay_join(context, sizes, ["anchor"], F.col("context")).where("size is not null")
     parts = F.ceil(F.col("size") / F.lit(group))
     open_ = open_.select("anchor", "context", F.when(parts > 1, F.pmod(F.xxhash64("context"), parts)).otherwise(0).cast("int").alias("salt"), (parts > 1).alias("split"), "doc_lo", "doc_hi", "lo", "n", "again")
-    texts = docs.withColumnRenamed("doc_id", "doc_lo")
-    found = open_.join(texts, "doc_lo").withColumn("text", F.expr(f"substring(text, lo + 1, n + {span - 1})"))
-    found = found.select("anchor", "context", "salt", "split", "doc_lo", "doc_hi", "lo", "n", "again", "text").repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
+    # all places of one document in one row, as its text is, and cut out of the text in one pass
+    place = F.struct("anchor", "context", "salt", "split", "doc_hi", "lo", "n", "again")
+    wanted = store.save(open_.groupBy("doc_lo").agg(F.collect_list(place).alias("places")), "wanted")
+    cut = docs.withColumnRenamed("doc_id", "doc_lo").join(wanted, "doc_lo").select("doc_lo", "text", "places").mapInArrow(_cut_out(span), CUT)
+    found = cut.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
     found = store.save(found.mapInArrow(_match(span, width), MATCHED), "matched")
     offers = found.where("start < 0").groupBy("key").agg(F.min("doc_id").alias("_a"), F.max("other").alias("_b")).where("_a < _b").select("key", F.lit(True).alias("hit"))
     late = relay_join(found.where("start >= 0 and key is not null"), offers, ["key"], F.struct("doc_id", "start")).where("hit")

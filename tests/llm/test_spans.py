@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -53,3 +54,27 @@ def test_long_text(spark):
     long = "".join(rng.choice("abcdefgh ") for _ in range(60_000))
     df = spark.createDataFrame([(1, long), (2, "q" * 100 + long[40_000:41_000] + "q" * 5000), (3, long[59_700:])], "doc_id long, text string")
     assert rows(shared_chars(df)) == [(1, 1300), (2, 1000), (3, 300)]
+
+
+def test_time_grows_with_the_text_only(spark):
+    """Two texts that differ every 450 characters: a context is open at every difference."""
+
+    def seconds(n):
+        rng = random.Random(n)
+        one = [rng.choice("abcdefghijklmnop ") for _ in range(n)]
+        two = list(one)
+        for i in range(225, n, 450):
+            two[i] = "#"
+        df = spark.createDataFrame([(1, "".join(one)), (2, "".join(two))], "doc_id long, text string").repartition(2).cache()
+        df.count()
+        at = time.time()
+        got = rows(shared_chars(df))
+        took = time.time() - at
+        ends = [-1, *range(225, n, 450), n]
+        want = sum(b - a - 1 for a, b in zip(ends, ends[1:]) if b - a - 1 >= 200)
+        assert got == [(1, want), (2, want)]
+        return took
+
+    seconds(20_000)
+    small, large = seconds(400_000), seconds(1_600_000)
+    assert large < 4 * small + 4
