@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from decimal import Decimal, InvalidOperation
+from decimal import Decimal, localcontext
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,8 +18,8 @@ TAGGED = "record_id bigint, elem string, parent string, pos int, val string"
 TABLES = {"width": ("lane", "s_offset_mm"), "road_mark": ("lane", "s_offset_mm"), "connection": ("junction", "connecting_road"), "lane_link": ("connection", "from_to"), "member": ("relation", "role")}
 SIDES = ("left", "center", "right")
 _NUMBER = re.compile(r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?")
-#: Parsing a text nested deeper than this stops; such a payload counts as not usable.
-DEPTH = 500
+#: Decimal exponents beyond this are no finite numbers, as in a double.
+_EXPONENT = 308
 
 
 def _items(x: object) -> list:
@@ -42,31 +42,87 @@ def _attr(x: dict, name: str) -> str:
 
 
 def _millimetres(text: str) -> str:
-    """Metres as whole millimetres, halves to even; empty if it is no finite decimal number, or one beyond 30 digits."""
-    if not _NUMBER.fullmatch(text):
+    """Metres as whole millimetres, exactly, halves to even; empty if it is no decimal number or too great for a double."""
+    match = _NUMBER.fullmatch(text)
+    if not match:
         return ""
-    try:
-        number = Decimal(text) * 1000
-    except InvalidOperation:
-        return ""
-    if number.adjusted() > 30:
+    digits, exponent = match[1], int((match[2] or "e0")[1:])
+    head = digits.partition(".")[0].lstrip("0")
+    tail = digits.partition(".")[2]
+    first = len(head) if head else len(tail.lstrip("0")) - len(tail)  # the place of the first digit before the point
+    if not (head + tail).strip("0"):
+        return "0"
+    if first + exponent > _EXPONENT + 1:
         return ""
-    return str(int(number.to_integral_value())) if number.adjusted() > -3 else "0"
+    if first + exponent < -4:
+        return "0"
+    with localcontext(prec=len(digits) + _EXPONENT + 10, Emax=10**9, Emin=-(10**9)):
+        metres = Decimal(("-" if text.startswith("-") else "") + digits).scaleb(exponent)
+        if abs(metres) > _GREATEST:
+            return ""
+        return str(int(metres.scaleb(3).to_integral_value()))
 
 
-def _named(x: object, kind: str, depth: int = 0) -> Iterator[dict]:
-    """The outermost elements of that name, through outer objects and arrays."""
-    if depth > DEPTH:
-        return
-    if isinstance(x, dict):
-        if kind in x:
-            yield from (e for e in _items(x[kind]) if isinstance(e, dict))
-        for key, value in x.items():
-            if key != kind and isinstance(value, (dict, list)):
-                yield from _named(value, kind, depth + 1)
-    elif isinstance(x, list):
-        for value in x:
-            yield from _named(value, kind, depth + 1)
+_GREATEST = Decimal(1.7976931348623157e308)
+
+
+def _named(tree: object, kind: str) -> Iterator[dict]:
+    """The outermost elements of that name, through outer objects and arrays of any depth, in the order of the text."""
+    open_ = [tree]
+    while open_:
+        x = open_.pop()
+        if isinstance(x, list):
+            open_.extend(reversed(x))
+        elif isinstance(x, dict):
+            yield from (e for e in _items(x.get(kind)) if isinstance(e, dict))
+            open_.extend(v for k, v in reversed(x.items()) if k != kind and isinstance(v, (dict, list)))
+
+
+_TOKEN = re.compile(r'[ \t\n\r]*(?:([{}\[\],:])|("(?:[^"\\\x00-\x1f]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*")|(-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)|(true|false|null))')
+_WORDS = {"true": True, "false": False, "null": None}
+
+
+def parse_deep(text: str) -> object:
+    """JSON of any depth, with an explicit stack; numbers stay text. ``ValueError`` where it is not valid.
+
+    Only for texts that the built-in parser gives up on because they nest too deeply.
+    """
+    stack: list[tuple[object, object]] = []  # (container, key that the next value goes under)
+    at, box, key, want = 0, [], None, "value"
+    top = box
+    while True:
+        match = _TOKEN.match(text, at)
+        if not match:
+            if want == "end" and not text[at:].strip(" \t\n\r"):
+                return top[0]
+            raise ValueError(f"no JSON at {at}")
+        at = match.end()
+        mark, quoted, number, word = match.groups()
+        if want in ("value", "value or close") and mark != "]" and mark not in (",", ":", "}"):
+            if mark:
+                new: object = {} if mark == "{" else []
+            else:
+                new = json.loads(quoted) if quoted else number if number else _WORDS[word]
+            if isinstance(box, dict):
+                box[key] = new
+            else:
+                box.append(new)
+            if mark:
+                stack.append((box, key))
+                box, want = new, "key or close" if mark == "{" else "value or close"
+            else:
+                want = "next" if stack else "end"
+        elif want in ("key", "key or close") and quoted:
+            key, want = json.loads(quoted), "colon"
+        elif want == "colon" and mark == ":":
+            want = "value"
+        elif want == "next" and mark == ",":
+            want = "key" if isinstance(box, dict) else "value"
+        elif want in ("next", "key or close", "value or close") and mark == ("}" if isinstance(box, dict) else "]"):
+            box, key = stack.pop()
+            want = "next" if stack else "end"
+        else:
+            raise ValueError(f"no JSON at {at}")
 
 
 def _road(road: dict) -> Iterator[tuple[str, str, int, str]]:
@@ -108,19 +164,39 @@ def _no_constant(name: str) -> None:
     raise ValueError(f"{name} is not valid JSON")
 
 
+def parse(payload: str) -> object:
+    """The JSON text as objects and arrays, its numbers as they stand; ``ValueError`` where it is not valid."""
+    try:
+        return json.loads(payload, parse_float=str, parse_int=str, parse_constant=_no_constant)
+    except RecursionError:
+        return parse_deep(payload)
+
+
 def visit(kind: str | None, payload: str | None) -> Iterator[tuple[str, str, int, str]]:
     """(table tag, parent key, position, value) of one record, depth first; nothing if it is not usable."""
     visitor = _VISITORS.get(kind or "")
     if visitor is None or not payload:
         return
     try:
-        tree = json.loads(payload, parse_float=str, parse_int=str, parse_constant=_no_constant)
-    except (ValueError, RecursionError):
+        tree = parse(payload)
+    except ValueError:
         return
     for element in _named(tree, kind):
         yield from visitor(element)
 
 
+def fault(kind: str | None, payload: str | None) -> str | None:
+    """Why a record gives no rows: ``kind``, ``empty``, ``not json`` or ``no element``; none where it is usable."""
+    if (kind or "") not in _VISITORS:
+        return "kind"
+    if not payload:
+        return "empty"
+    try:
+        return None if any(True for _ in _named(parse(payload), kind)) else "no element"
+    except ValueError:
+        return "not json"
+
+
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.string()]
     names = ["record_id", "elem", "parent", "pos", "val"]
@@ -147,6 +223,18 @@ def flatten_records(records: DataFrame) -> DataFrame:
     return records.select("record_id", "kind", "payload").mapInArrow(_emit, TAGGED)
 
 
+def unusable_records(records: DataFrame) -> DataFrame:
+    """(record_id, fault) of the records that ``flatten_records`` passes over, so that none is lost unseen."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(r, why) for r, kind, payload in zip(*(batch.column(i).to_pylist() for i in range(3))) if (why := fault(kind, payload))]
+            ids, why = zip(*rows) if rows else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(why, pa.string())], ["record_id", "fault"])
+
+    return records.select("record_id", "kind", "payload").mapInArrow(run, "record_id bigint, fault string")
+
+
 def write_tables(tagged: DataFrame, path: str) -> None:
     """Writes the tagged rows partitioned by tag."""
     tagged.write.mode("overwrite").partitionBy("elem").parquet(path)
