@@ -5,21 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadloom.functions import polyline as P
 from roadloom.operators.keys import current_rows, read_decimal
 
 #: Cells per side of the block of cells that is the equi-join key, as a power of two.
 BLOCK_BITS = 2
-_HALF = 1 << 30
+_HALF = 1 << 60
+_LOW = (1 << 31) - 1
 
 
-def cell_of(value: Column, side: float) -> Column:
-    """The non-negative cell number of a coordinate. Coordinates beyond 2**30 cells share the outermost cell.
+def cell_of(value: Column, side: float | Column) -> Column:
+    """The non-negative cell number of a coordinate.
+
+    Beyond 2**60 cells neighbouring doubles are hundreds of cells apart, so only equal ones can be near each other: there
+    the number is a hash of the coordinate, which keeps different places apart.
 
     Never null, as callers keep null coordinates out: a nullable key would make the optimiser push a test of the whole
     code expression, written out, down to the scan.
     """
-    cell = F.floor(F.greatest(F.least(value / F.lit(side), F.lit(float(_HALF - 1))), F.lit(float(-_HALF))))
-    return F.coalesce(cell.cast("bigint"), F.lit(0)) + F.lit(_HALF)
+    at = value / (F.lit(side) if isinstance(side, float) else side)
+    far = F.lit(2 * _HALF) + F.pmod(F.xxhash64(value), F.lit(_HALF))
+    return F.coalesce(F.when(F.abs(at) < float(_HALF), F.floor(at).cast("bigint") + F.lit(_HALF)).otherwise(far), F.lit(0))
 
 
 def with_morton(df: DataFrame, **codes: tuple[str, str]) -> DataFrame:
@@ -36,24 +42,26 @@ def with_morton(df: DataFrame, **codes: tuple[str, str]) -> DataFrame:
     return df.drop(*[f"_m{c}" for c in sides])
 
 
-def _covers(df: DataFrame, x_lo: Column, x_hi: Column, y_lo: Column, y_hi: Column, side: float) -> DataFrame:
+def _covers(df: DataFrame, x_lo: Column, x_hi: Column, y_lo: Column, y_hi: Column, side: float | Column, *more: Column) -> DataFrame:
     """One row per block of cells that a box touches, with the range of codes that the box can have in that block.
 
-    In a block the code grows with both cell numbers, so the codes of the box's corners bound it.
+    In a block the code grows with both cell numbers, so the codes of the box's corners bound it. Codes hold the lower 31
+    bits of the cell numbers; ``_block`` is a hash of the block's whole place (and of ``more``), and a place that meets
+    another by chance is told apart by the exact test that follows.
     """
     last = (1 << BLOCK_BITS) - 1
     df = df.withColumns({"_x0": cell_of(x_lo, side), "_x1": cell_of(x_hi, side), "_y0": cell_of(y_lo, side), "_y1": cell_of(y_hi, side)})
     df = df.withColumn("_bx", F.explode(F.sequence(F.shiftright("_x0", BLOCK_BITS), F.shiftright("_x1", BLOCK_BITS))))
     df = df.withColumn("_by", F.explode(F.sequence(F.shiftright("_y0", BLOCK_BITS), F.shiftright("_y1", BLOCK_BITS))))
-    x0, y0 = F.shiftleft("_bx", BLOCK_BITS), F.shiftleft("_by", BLOCK_BITS)
-    df = df.withColumns({"_x0": F.greatest("_x0", x0), "_y0": F.greatest("_y0", y0), "_x1": F.least("_x1", x0 + F.lit(last)), "_y1": F.least("_y1", y0 + F.lit(last))})
-    df = with_morton(df.drop("_bx", "_by"), _lo=("_x0", "_y0"), _hi=("_x1", "_y1")).drop("_x0", "_x1", "_y0", "_y1")
-    return df.withColumn("_block", F.shiftright("_lo", 2 * BLOCK_BITS))
+    x0, y0, low = F.shiftleft("_bx", BLOCK_BITS), F.shiftleft("_by", BLOCK_BITS), F.lit(_LOW)
+    df = df.withColumns({"_x0": F.greatest("_x0", x0).bitwiseAND(low), "_y0": F.greatest("_y0", y0).bitwiseAND(low), "_x1": F.least("_x1", x0 + F.lit(last)).bitwiseAND(low), "_y1": F.least("_y1", y0 + F.lit(last)).bitwiseAND(low), "_block": F.xxhash64("_bx", "_by", *more)})
+    return with_morton(df.drop("_bx", "_by"), _lo=("_x0", "_y0"), _hi=("_x1", "_y1")).drop("_x0", "_x1", "_y0", "_y1")
 
 
-def _coded(df: DataFrame, x: str, y: str, side: float) -> DataFrame:
+def _coded(df: DataFrame, x: str, y: str, side: float | Column, *more: Column) -> DataFrame:
     df = df.withColumns({"_cx": cell_of(F.col(x), side), "_cy": cell_of(F.col(y), side)})
-    return with_morton(df, _code=("_cx", "_cy")).drop("_cx", "_cy").withColumn("_block", F.shiftright("_code", 2 * BLOCK_BITS))
+    df = df.withColumns({"_block": F.xxhash64(F.shiftright("_cx", BLOCK_BITS), F.shiftright("_cy", BLOCK_BITS), *more), "_cx": F.col("_cx").bitwiseAND(F.lit(_LOW)), "_cy": F.col("_cy").bitwiseAND(F.lit(_LOW))})
+    return with_morton(df, _code=("_cx", "_cy")).drop("_cx", "_cy")
 
 
 def points_within(points: DataFrame, radius: float, scope: str, key: str, x: str = "x", y: str = "y") -> DataFrame:
@@ -86,10 +94,11 @@ def points_within(points: DataFrame, radius: float, scope: str, key: str, x: str
 def points_in_boxes(points: DataFrame, boxes: DataFrame, side: float, scope: str, x: str = "x", y: str = "y") -> DataFrame:
     """Each point with the axis-parallel regions of its scope that contain it, borders included.
 
-    ``boxes`` has the scope, ``x_lo x_hi y_lo y_hi`` and its own columns, which are all kept; ``side`` is the cell side and should be
-    about a quarter of a usual region's width. A region is covered by a code range per block of cells, so its rows grow
-    with its area over ``(4 side)**2``. Rows with null or non-finite coordinates, and regions whose bounds are
-    reversed, match nothing.
+    ``boxes`` has the scope, ``x_lo x_hi y_lo y_hi`` and its own columns, which are all kept; ``side`` is the side of the
+    smallest cells and should be about a quarter of a small region's width. A region larger than four cells takes cells
+    of 2, 4, 8 ... times that side, so that it covers at most nine blocks whatever its size; points are coded at every
+    level that some region has, which is at most as many as powers of two between the least and greatest width. Rows with
+    null or non-finite coordinates, and regions whose bounds are reversed, match nothing.
     """
     inf = F.lit(float("inf"))
     ok = (F.abs("x_lo") < inf) & (F.abs("x_hi") < inf) & (F.abs("y_lo") < inf) & (F.abs("y_hi") < inf)
@@ -97,13 +106,33 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, side: float, scope: str
     clash = [c for c in points.columns if c in boxes.columns and c != scope]
     if clash:
         raise ValueError(f"rename the columns that both sides have: {clash}")
-    ranges = _covers(boxes.where(ok), F.col("x_lo"), F.col("x_hi"), F.col("y_lo"), F.col("y_hi"), side)
-    base = _coded(points.where((F.abs(x) < inf) & (F.abs(y) < inf)), x, y, side)
+    width = F.greatest(F.col("x_hi") / 4 - F.col("x_lo") / 4, F.col("y_hi") / 4 - F.col("y_lo") / 4)
+    level = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(width / F.lit(side), F.lit(1.0)))).cast("int"))
+    boxes = boxes.where(ok).withColumn("_level", level)
+    levels = sorted(r[0] for r in boxes.select("_level").distinct().collect())
+    at = F.lit(side) * F.pow(F.lit(2.0), F.col("_level"))
+    ranges = _covers(boxes, F.col("x_lo"), F.col("x_hi"), F.col("y_lo"), F.col("y_hi"), at, F.col("_level")).drop("_level")
+    each = F.explode(F.array(*[F.lit(v) for v in levels]).cast("array<int>"))
+    base = _coded(points.where((F.abs(x) < inf) & (F.abs(y) < inf)).withColumn("_level", each), x, y, at, F.col("_level")).drop("_level")
     hit = base.join(ranges, [scope, "_block"]).where(F.col("_code").between(F.col("_lo"), F.col("_hi")))
     inside = F.col(x).between(F.col("x_lo"), F.col("x_hi")) & F.col(y).between(F.col("y_lo"), F.col("y_hi"))
     return hit.where(inside).drop("_code", "_block", "_lo", "_hi")
 
 
+def points_in_rings(points: DataFrame, rings: DataFrame, side: float, scope: str, key: str, x: str = "x", y: str = "y") -> DataFrame:
+    """Each point with the outlines of its scope that contain it, by the even-odd rule.
+
+    ``rings`` has the scope, a ``key`` that is unique in it and ``ring``, an array of (x, y) that closes itself. The boxes of the outlines find
+    the candidates, without carrying the outlines; those then join the hits by key and decide. Null and empty outlines
+    contain nothing. Returns the points' columns and the key.
+    """
+    least = lambda f, c: f(F.transform("ring", lambda p: p[c]))
+    shaped = rings.select(scope, key, "ring").where(F.size("ring") > 0)
+    boxes = shaped.select(scope, key, least(F.array_min, "x").alias("x_lo"), least(F.array_max, "x").alias("x_hi"), least(F.array_min, "y").alias("y_lo"), least(F.array_max, "y").alias("y_hi"))
+    met = points_in_boxes(points, boxes, side, scope, x, y).drop("x_lo", "x_hi", "y_lo", "y_hi")
+    return met.join(shaped, [scope, key]).where(P.in_ring(F.col(x), F.col(y), F.col("ring"))).drop("ring")
+
+
 def placed_nodes(osm_node: DataFrame) -> DataFrame:
     """(map_id, node_id, x, y) of the current rows of nodes whose local_x and local_y are both finite decimals."""
     slim = osm_node.select("map_id", "node_id", "loaded_at", read_decimal(F.col("local_x")).alias("x"), read_decimal(F.col("local_y")).alias("y"))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from roadloom.operators import nearby, nested, orphans
+from roadloom.operators import keys, nearby, nested, orphans
+from roadloom.storage import Scratch
 
 READS_ID = "case when regexp_full_match({0}, '\\s*[0-9]+\\s*') then try_cast(trim({0}) as bigint) end"
 PLACED = r"""placed as (
@@ -31,7 +35,28 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return nested.flatten_records(nested.current_records(spark.read.parquet(f"{sf}/raw_map_record.parquet")))
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found}
+def p2_regions(spark: SparkSession, sf: str) -> DataFrame:
+    """How many placed nodes the box round each way's placed points holds."""
+    nodes = nearby.placed_nodes(spark.read.parquet(f"{sf}/osm_node.parquet"))
+    ways = keys.current_rows(spark.read.parquet(f"{sf}/osm_way.parquet").select("map_id", "way_id", "nd", "loaded_at"), ["map_id", "way_id"])
+    refs = ways.select("map_id", "way_id", F.explode("nd.ref").alias("ref")).select("map_id", "way_id", keys.read_id(F.col("ref")).alias("node_id"))
+    at = refs.join(nodes, ["map_id", "node_id"]).groupBy("map_id", "way_id").agg(F.min("x").alias("x_lo"), F.max("x").alias("x_hi"), F.min("y").alias("y_lo"), F.max("y").alias("y_hi"))
+    return nearby.points_in_boxes(nodes, at, 5.0, "map_id").groupBy("map_id", "way_id").agg(F.count("*").alias("nodes"))
+
+
+def p4_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The tables of p4 written by tag, read back under their own names, and counted."""
+    store = Scratch(spark, "nested")
+    nested.write_tables(p4_found(spark, sf), store.path("tagged"))
+    tagged = spark.read.schema(nested.TAGGED).parquet(store.path("tagged"))
+    every = []
+    for elem, (parent, value) in nested.TABLES.items():
+        t = nested.table_of(tagged, elem)
+        every.append(t.agg(F.lit(elem).alias("elem"), F.count("*").alias("n"), F.count_distinct("record_id", f"{parent}_key").alias("parents"), F.count(F.when(F.col(value).cast("string") != "", 1)).alias("with_value")))
+    return reduce(DataFrame.unionByName, every)
+
+
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p2_regions": p2_regions, "p4_tables": p4_tables}
 
 _WORD = "nullif(lower(trim({0}, ' \t\n\r')), '')"
 SQL = {
@@ -82,3 +107,10 @@ union all select distinct e.record_id, 'lane_link', c.parent || '/' || c.pos, e.
 union all select distinct e.record_id, 'member', coalesce(r.id, ''), e.pos, coalesce(a.role, '') from el e join top p on p.record_id = e.record_id and p.kind = 'relation' and e.up = p.fullkey and regexp_full_match(e.fullkey, '.*\.member(\[\d+\])?')
   left join att r on r.record_id = p.record_id and r.path = p.fullkey left join att a on a.record_id = e.record_id and a.path = e.fullkey""",
 }
+
+SQL["p2_regions"] = f"""with {PLACED},
+w as (select map_id, way_id, unnest(nd).ref as ref from (select map_id, way_id, nd from osm_way qualify row_number() over (partition by map_id, way_id order by loaded_at desc) = 1)),
+b as (select w.map_id, w.way_id, min(x) as x0, max(x) as x1, min(y) as y0, max(y) as y1 from w join placed p on p.map_id = w.map_id and p.node_id = {READS_ID.format("ref")} group by all)
+select b.map_id, b.way_id, count(*) as nodes from b join placed p on p.map_id = b.map_id and p.x between x0 and x1 and p.y between y0 and y1 group by all"""
+SQL["p4_tables"] = f"""select k.elem, count(t.elem) as n, count(distinct (t.record_id, t.parent)) filter (t.elem is not null) as parents, count(*) filter (t.val <> '') as with_value
+from (select unnest(['width', 'road_mark', 'connection', 'lane_link', 'member']) as elem) k left join ({SQL["p4_found"]}) t using (elem) group by k.elem"""
