@@ -49,7 +49,9 @@ def windowed_counts(events: DataFrame, width: str = "5 minutes", late: str = "10
 
 
 def follow_references(stream: DataFrame, ledger: ReferenceLedger, checkpoint: str) -> StreamingQuery:
-    """Feeds a ledger from a stream of table rows: (table, row as JSON). Each micro-batch is one step of the ledger."""
+    """Feeds a ledger from a stream of table rows: (table, row as JSON). Each micro-batch is one step of the ledger, known
+    by its number, so a batch that is delivered again counts once. The ledger should have a lasting ``path``, as the
+    stream's checkpoint does: opened on both, a stream goes on where it stopped."""
     spark = stream.sparkSession
     schemas = {
         "osm_node": "map_id long, node_id long, loaded_at timestamp_ntz", "osm_way": "map_id long, way_id long, loaded_at timestamp_ntz, deleted_at timestamp_ntz",
@@ -58,10 +60,10 @@ def follow_references(stream: DataFrame, ledger: ReferenceLedger, checkpoint: st
         "junction_connection": "connection_id long, map_id long, connecting_road string, loaded_at timestamp_ntz", "road_link": "link_id long, map_id long, element_type string, element_id string, loaded_at timestamp_ntz",
     }
 
-    def step(batch: DataFrame, _: int) -> None:
+    def step(batch: DataFrame, number: int) -> None:
         batch = batch.persist()
         part = {t: batch.where(F.col("table") == t).select(F.from_json("row", s).alias("r")).select("r.*") for t, s in schemas.items()}
-        ledger.advance(map_parents(part), map_references(part))
+        ledger.advance(map_parents(part), map_references(part), number)
         batch.unpersist()
 
     assert spark is not None

@@ -55,3 +55,74 @@ def test_late_files_in_any_order_and_reopening(spark):
 
     assert rows(ledger.cases().select("ref_table", "ref_id", "reason", F.date_format("loaded_at", "yyyy-MM"))) == want
     assert sum(r["orphans"] for r in ledger.snapshot().collect()) == len(want)
+
+
+def test_a_step_reads_what_its_keys_touch(spark, tmp_path, monkeypatch):
+    from roadloom import storage
+    from roadloom.operators.orphans import map_parents, map_references
+
+    n = 6000
+    ways = [(1, k, T[0], None) for k in range(1, n)]
+    members = [(k, 1, "way", str(k * 2), T[3]) for k in range(1, n)]  # half of them missing
+    ledger = ReferenceLedger(spark, str(tmp_path / "state"), buckets=128)
+    part = tables(spark, way=ways, member=members)
+    ledger.advance(map_parents(part), map_references(part), batch=0)
+    assert ledger.cases().count() == n // 2
+    seen, real = [], storage.Tables.read
+
+    def read(self, schema, table, name, buckets=None):
+        df = real(self, schema, table, name, buckets)
+        if name == "1" and table != "counts":
+            seen.append(df.inputFiles())
+        return df
+
+    monkeypatch.setattr(storage.Tables, "read", read)
+    # five missing ways arrive, three ways are deleted, two references are new
+    part = tables(spark, way=[(1, n + 2 * k, T[5], None) for k in range(5)] + [(1, 2 * k, T[9], T[9]) for k in (1, 2, 3)], member=[(n, 1, "way", "4", T[9]), (n + 1, 1, "way", "9", T[9])])
+    ledger.advance(map_parents(part), map_references(part), batch=1)
+    monkeypatch.undo()
+    paths = {f for files in seen for f in files}
+    touched = sum(spark.read.parquet(f).count() for f in paths)
+    total = sum(spark.read.parquet(str(tmp_path / "state" / t / "1")).count() for t in ("parents", "refs", "uses"))
+    assert 0 < touched < total / 5
+    got = {r["ref_id"]: r["reason"] for r in ledger.cases().collect()}
+    assert {k: got.get(k) for k in (1, 2, 3, n, n + 1)} == {1: "deleted", 2: "deleted", 3: "deleted", n: "deleted", n + 1: None}
+    assert {got[n // 2 + k] for k in range(5)} == {"late"} and got[n // 2 + 5] == "missing"
+    assert sum(r["orphans"] for r in ledger.snapshot().collect()) == len(got)
+    # a batch that comes again changes nothing, and a ledger opened anew goes on from the last whole step
+    ledger.advance(map_parents(part), map_references(part), batch=1)
+    assert ledger.step == 2
+    again = ReferenceLedger(spark, str(tmp_path / "state"))
+    assert again.buckets == 128 and again.batch == 1 and rows(again.cases()) == rows(ledger.cases())
+    part = tables(spark, way=[(1, 2, T[12], None)], member=[(n, 1, "way", None, T[12])])
+    again.advance(map_parents(part), map_references(part), batch=2)
+    got = {r["ref_id"]: r["reason"] for r in again.cases().collect()}
+    assert got.get(1) is None and got.get(n) is None and got[2] == "deleted"
+    assert sorted({r["step"] for r in again.snapshots().collect()}) == [1, 2, 3]
+
+
+def test_many_steps_with_folding(spark, monkeypatch):
+    from roadloom.operators import orphans
+
+    monkeypatch.setattr(orphans, "COMPACT", 3)
+    rng = random.Random(8)
+    ways = list({(1, w, at): (1, w, at, gone) for w, at, gone in ((rng.randint(1, 12), rng.choice(T), rng.choice([None, None, T[0]])) for _ in range(60))}.values())
+    members = list({(i, at): (i, 1, rng.choice(["way", "way", None, "node"]), rng.choice(["1", "7", "15", "x", None]), at) for i, at in ((rng.randint(1, 25), rng.choice(T)) for _ in range(80))}.values())
+    rng.shuffle(ways), rng.shuffle(members)
+    ledger = ReferenceLedger(spark, buckets=4)
+    for k in range(8):
+        part = tables(spark, way=ways[k::8], member=members[k::8])
+        ledger.advance(orphans.map_parents(part), orphans.map_references(part))
+    want = rows(orphan_cases(spark, tables(spark, way=ways, member=members), 1))
+    from pyspark.sql import functions as F
+
+    assert rows(ledger.cases().select("ref_table", "ref_id", "reason", F.date_format("loaded_at", "yyyy-MM"))) == want
+    assert max(map(len, ledger.live.values())) < 4
+    assert sum(r["orphans"] for r in ledger.snapshot().collect()) == len(want)
+
+
+def test_null_keys(spark):
+    t = tables(spark, way=[(None, 5, T[0], None), (1, None, T[0], None)], member=[(None, 1, "way", "5", T[1]), (3, None, "way", "5", T[1]), (4, 1, "way", "5", None)])
+    want = [("osm_member", None, "missing", "2024-01"), ("osm_member", 3, "missing", "2024-01"), ("osm_member", 4, "missing", None)]
+    for steps in (1, 3):
+        assert rows(orphan_cases(spark, t, steps)) == sorted(want, key=str)
