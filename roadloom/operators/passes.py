@@ -158,32 +158,30 @@ def road_borders(t: MapTables) -> tuple[MapTables, DataFrame]:
 
 def cut_line(refs: list, x: np.ndarray, y: np.ndarray, fractions: list[float], snap: float = M.SNAP) -> list[list[tuple]] | None:
     """A way cut at fractions of its length: pieces of points, each (node,) or (node before, node after, t) for a new
-    one. A cut within ``snap`` of a point takes that point. None if that leaves fewer pieces than wanted."""
-    step = np.hypot(np.diff(x), np.diff(y))
-    ends = np.cumsum(step)
-    if not len(step) or ends[-1] <= 0:
+    one. A cut within ``snap`` of a point takes that point. None if that leaves fewer pieces than wanted.
+
+    All cuts are placed by one sorted search in the lengths along the way; a piece is then its two ends with the points
+    between them.
+    """
+    along = np.r_[0.0, np.cumsum(np.hypot(np.diff(x), np.diff(y)))]
+    last = len(along) - 1
+    if last < 1 or not along[-1] > 0:
         return None
-    starts = ends - step
-    pieces, piece, wanted = [], [(refs[0],)], [ends[-1] * f for f in fractions]
-    for i in range(len(step)):
-        while wanted and wanted[0] <= ends[i] + 1e-9:
-            at = wanted.pop(0)
-            if abs(at - starts[i]) <= snap:
-                point = (refs[i],)
-            elif abs(at - ends[i]) <= snap or step[i] <= 0:
-                point = (refs[i + 1],)
-            else:
-                point = (refs[i], refs[i + 1], float((at - starts[i]) / step[i]))
-            if point != piece[-1]:
-                piece.append(point)
-            if len(piece) >= 2:
-                pieces.append(piece)
-            piece = [point]
-        if (refs[i + 1],) != piece[-1]:
-            piece.append((refs[i + 1],))
-    if len(piece) >= 2:
-        pieces.append(piece)
-    return pieces if len(pieces) == len(fractions) + 1 else None
+    at = along[-1] * np.asarray(fractions, float)
+    seg = np.minimum(np.searchsorted(along[1:] + 1e-9, at), last - 1)
+    before, after = at - along[seg], along[seg + 1] - at
+    share = before / np.where(before + after > 0, before + after, 1.0)
+    share = np.select([np.abs(before) <= snap, (np.abs(after) <= snap) | (before + after <= 0)], [0.0, 1.0], share)
+    # every cut as the points it stands at or between, and the first and last whole point on its two sides
+    marks = [(refs[i], refs[i + 1], float(t)) if 0 < t < 1 else (refs[i + int(t)],) for i, t in zip(seg.tolist(), share.tolist())]
+    ends = [(refs[0],), *marks, (refs[-1],)]
+    up = np.r_[1, np.where(share < 1, seg + 1, seg + 2)]
+    down = np.r_[np.where(share > 0, seg, seg - 1), last - 1]
+    pieces = []
+    for k in range(len(ends) - 1):
+        points = [ends[k], *((refs[i],) for i in range(int(up[k]), int(down[k]) + 1)), ends[k + 1]]
+        pieces.append([q for i, q in enumerate(points) if not i or q != points[i - 1]])
+    return pieces if all(len(q) > 1 for q in pieces) else None
 
 
 _CUT = "way_id string, ord bigint, component string, ok boolean, piece int, seq int, a string, b string, t double"

@@ -84,15 +84,33 @@ def lanelet(i, y0, y1, back=False, **links):
     return {"rel_id": i, "left": None, "left_same": False, "right": None, "right_same": False, "lx": x, "ly": [left] * 3, "rx": x, "ry": [right] * 3} | links
 
 
-def test_adjacency():
-    df = pd.DataFrame([
+def test_adjacency(spark):
+    made = [
         lanelet("a", 0, 4, left="b", left_same=True, right="zz", right_same=True), lanelet("b", 4, 8), lanelet("c", 8, 12, back=True, right="b", right_same=True), lanelet("d", 0, 4, back=True, left="a"),
         lanelet("e", 20, 24, left="e"), lanelet("f", 30, 34, right="g", right_same=True), lanelet("g", 26, 30, right="f", right_same=True),
-    ])
-    out, stats = L.tidy_adjacency(df)
-    got = {r.rel_id: (r.left, r.left_same, r.right, r.right_same) for r in out.itertuples()}
-    assert stats["dangling_cleared"] == 2 and stats["overlap_pairs"] == 1 and stats["dropped_direction"] == 1 and stats["cycles_cut"] == 1
+    ]
+    schema = "map_id string, rel_id string, ord int, left string, left_same boolean, right string, right_same boolean, lx array<double>, ly array<double>, rx array<double>, ry array<double>"
+    data = [("m", r["rel_id"], k, r["left"], bool(r["left_same"]), r["right"], bool(r["right_same"]), *([float(v) for v in r[c]] for c in ("lx", "ly", "rx", "ry"))) for k, r in enumerate(made)]
+    got = {r.rel_id: (r.left, r.left_same, r.right, r.right_same) for r in L.sanitize_adjacency(spark.createDataFrame(data, schema)).collect()}
+    assert set(got) == set("abcdefg") and got["e"] == got["c"] == (None, False, None, False)
     assert got["a"] == ("b", True, None, False) and got["b"][2:] == ("a", True) and got["c"] == (None, False, None, False) and got["d"][0] is None
+    assert (got["f"][2] is None) != (got["g"][2] is None)  # the circle is cut once
+    assert L.sanitize_adjacency(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_settled_links():
+    slots = lambda *links: (np.array([t for t, _ in links]), np.array([s for _, s in links]))
+    none = (-1, False)
+    # 0 has 1 on its right, 2 claims the same slot of 1 and loses; 3 and 1 run opposite ways
+    target, same = L.settle_links(*slots(none, (1, True), none, none, none, (1, True), (1, False), none))
+    assert target.tolist() == [-1, 1, 0, -1, -1, -1, -1, -1] and same[2]
+    # a chain of 40,000 and a ring of 3 take one walk each
+    n = 40_000
+    chain = [(k, True) for i in range(n) for k in (i - 1, i + 1 if i + 1 < n else -1)]
+    ring = [(n + (i + d) % 3, True) for i in range(3) for d in (-1, 1)]
+    target, _ = L.settle_links(*slots(*chain, *ring))
+    assert (target[: 2 * n] == np.array([t for t, _ in chain])).all()
+    assert target[2 * n :].tolist() == [-1, n + 1, n, n + 2, n + 1, -1]
 
 
 def test_topology_report(spark):

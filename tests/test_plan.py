@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,11 +17,11 @@ CUBIC = V.Prim("paramPoly3", 3.0, 1.0, 0.3, V.chord_length((0.0, 10.0, 0.0, 0.0)
 @pytest.mark.parametrize("p", [LINE, ARC, CUBIC])
 @pytest.mark.parametrize("share", [0.2, 0.7])
 def test_cutting_and_reversing(p, share):
-    one, two = V.cut(p, share * p.length)
+    one, two = V.between(p, 0.0, share * p.length), V.between(p, share * p.length, p.length)
     assert one.length + two.length == pytest.approx(p.length, abs=1e-4)
     assert V.end_pose(one)[:2] == pytest.approx((two.x, two.y), abs=1e-6)
     assert V.end_pose(two)[:2] == pytest.approx(V.end_pose(p)[:2], abs=1e-6)
-    back = V.reversed_prim(p)
+    back = V.between(p, 0.0, p.length, backwards=True)
     assert (back.x, back.y) == pytest.approx(V.end_pose(p)[:2])
     assert V.end_pose(back)[:2] == pytest.approx((p.x, p.y), abs=1e-9)
     turn = (V.end_pose(back)[2] - p.hdg - math.pi) / (2 * math.pi)
@@ -31,7 +32,7 @@ def test_unsupported():
     over_length = V.Prim("paramPoly3", 0.0, 0.0, 0.0, 5.0, u=(0, 1, 0, 0), normalized=False)
     spiral = V.Prim("spiral", 0.0, 0.0, 0.0, 5.0)
     for p in (over_length, spiral):
-        assert V.end_pose(p) is None and V.cut(p, 1.0) is None and V.reversed_prim(p) is None
+        assert V.end_pose(p) is None and V.between(p, 0.0, 1.0) is None and V.between(p, 0.0, 5.0, backwards=True) is None and V.piece([p], 0.0, 2.0) == ([p], 5.0) and V.piece([p], 1.0, 2.0) == ([], 0.0)
 
 
 def test_pieces():
@@ -45,8 +46,10 @@ def test_pieces():
 
 def test_widths_and_offsets():
     widths = {1: [(0.0, (3.0, 0.1, 0.0, 0.0)), (10.0, (4.0, 0.0, 0.0, 0.0))], 2: [(5.0, (2.0, 0.0, 0.0, 0.0))], -1: [(0.0, (3.5, 0.0, 0.0, 0.0))]}
-    assert V.width_at(widths[1], 5.0) == pytest.approx(3.5) and V.width_at(widths[1], 10.0) == 4.0 and V.width_at(widths[2], 0.0) == 2.0 and V.width_at([], 1.0) == 0.0
-    assert V.inner_offset(widths, 3, 5.0) == pytest.approx(5.5) and V.inner_offset(widths, -2, 0.0) == -3.5 and V.inner_offset(widths, -1, 0.0) == 0.0
+    at = lambda k, s: float(V.widths_at(widths.get(k, []), np.array([s]))[0])
+    inner = lambda k, s: float(V.inner_offsets(widths, k, np.array([s]))[0])
+    assert at(1, 5.0) == pytest.approx(3.5) and at(1, 10.0) == 4.0 and at(2, 0.0) == 2.0 and at(7, 1.0) == 0.0
+    assert inner(3, 5.0) == pytest.approx(5.5) and inner(-2, 0.0) == -3.5 and inner(-1, 0.0) == 0.0
 
 
 def test_polynomials():
@@ -54,6 +57,7 @@ def test_polynomials():
     for t in (0.0, 0.3, 1.7):
         assert V.value(V.shifted(p, 0.4), t) == pytest.approx(V.value(p, 0.4 + t))
         assert V.value(V.scaled(p, -1.5), t) == pytest.approx(V.value(p, -1.5 * t))
+        assert V.value(tuple(V.composed(np.array(p), 0.4, -1.5)), t) == pytest.approx(V.value(p, 0.4 - 1.5 * t))
 
 
 def road(body, road_id="1", length=10.0, **attrs):
