@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadloom.operators.skew import relay_join
 from roadloom.storage import Scratch
 
 
 def components(edges: DataFrame, scope: str, a: str, b: str) -> DataFrame:
     """(scope, node, component): the least node of each node's component, for all nodes that occur in an edge.
 
+    A label that very many nodes have, as in a component that holds most of a map, is spread over salts in both joins.
     Alternates connecting every node's neighbours to its least neighbour and its own label, which makes long chains
     shrink by half a round; the edge set is written to the shared folder each round, and only a sum comes back. Meant
     for the graphs of maps, whose components stay inside a map. Nulls are left out.
@@ -28,9 +30,9 @@ def components(edges: DataFrame, scope: str, a: str, b: str) -> DataFrame:
         low = state.join(near, ["s", "u"], "left").select("s", "u", "label", F.least("label", F.coalesce("l", "label")).alias("low"))
         # hook: a label takes the least value any of its nodes saw; then jump to the label's own label
         hooked = low.groupBy("s", F.col("label").alias("k")).agg(F.min("low").alias("h"))
-        step = low.withColumnRenamed("label", "k").join(hooked, ["s", "k"]).select("s", "u", F.least("low", "h").alias("label"))
+        step = relay_join(low.withColumnRenamed("label", "k"), hooked, ["s", "k"], F.col("u")).select("s", "u", F.least("low", "h").alias("label"))
         jump = step.select("s", F.col("u").alias("label"), F.col("label").alias("up"))
-        state_new = store.save(step.join(jump, ["s", "label"], "left").select("s", "u", F.least("label", F.coalesce("up", "label")).alias("label")), f"label-{turn}")
+        state_new = store.save(relay_join(step, jump, ["s", "label"], F.col("u")).select("s", "u", F.least("label", F.coalesce("up", "label")).alias("label")), f"label-{turn}")
         changed = state_new.join(state.withColumnRenamed("label", "old"), ["s", "u"]).where("label <> old").limit(1).count()
         store.drop(f"label-{turn - 1}")
         state = state_new

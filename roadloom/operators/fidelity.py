@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from roadloom import model as M
 from roadloom.functions import polyline as P
+from roadloom.storage import Scratch
 
 MAP = "map_id"
 
@@ -143,26 +144,40 @@ def segment_distance(px: Column, py: Column, ax: Column, ay: Column, bx: Column,
     return F.hypot(px - ax - t * dx, py - ay - t * dy)
 
 
-def nearest_segment(points: DataFrame, segments: DataFrame, cell: float, rings: int = 12) -> DataFrame:
+def nearest_segment(points: DataFrame, segments: DataFrame, cell: float) -> DataFrame:
     """(map_id, point_id, dist): the distance of each point from the nearest segment of its map; infinite without any.
 
-    Rings of 1 and 4 cells: a segment stands in every cell its box covers; points probe the cells within the ring, and a
-    distance counts once it is within it. What is still open is compared with all segments of its map. ``rings`` is not
-    used: there are always two.
+    Rings of 1, 4, 16 ... cells round the points that are still open: a distance counts once it is within the ring, and
+    rings go on until none is open. A segment stands in cells of at least a quarter of its own width, and in a ring of at
+    least the ring's, so that it covers few cells however long it is and a point probes few however wide the ring; nothing
+    is ever compared with a whole map. Points without finite coordinates are infinitely far.
     """
-    box = lambda f, a, b: f(F.col(a), F.col(b))
-    span = lambda a, b: F.explode(F.sequence(F.floor(box(F.least, a, b) / cell), F.floor(box(F.greatest, a, b) / cell)))
-    placed = segments.withColumn("gx", span("ax", "bx")).withColumn("gy", span("ay", "by"))
+    store = Scratch(points.sparkSession, "nearest")
+    finite = F.lit(float("inf"))
+    wide = F.greatest(F.abs(F.col("ax") - F.col("bx")), F.abs(F.col("ay") - F.col("by")))
+    level = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(wide / F.lit(4 * cell), F.lit(1.0)))).cast("int"))
+    seg = store.save(segments.select(MAP, "ax", "ay", "bx", "by", level.alias("level")).where(wide < finite), "segments")
+    levels = [r[0] for r in seg.select("level").distinct().collect()]
+    some = points.select(MAP, "point_id", "px", "py").where((F.abs("px") < finite) & (F.abs("py") < finite))
+    left = store.save(some.join(seg.select(MAP).distinct(), MAP, "left_semi"), "open-0")
     d = segment_distance(*(F.col(c) for c in ("px", "py", "ax", "ay", "bx", "by")))
-    left, done, reach = points, None, 1
-    for _ in range(2):
-        probe = left.withColumn("gx", F.explode(F.sequence(F.floor(F.col("px") / cell) - reach, F.floor(F.col("px") / cell) + reach))).withColumn("gy", F.explode(F.sequence(F.floor(F.col("py") / cell) - reach, F.floor(F.col("py") / cell) + reach)))
-        near = probe.join(placed, [MAP, "gx", "gy"]).withColumn("d", d).groupBy(MAP, "point_id").agg(F.min("d").alias("dist")).where(F.col("dist") <= cell * reach)
+    ring, done = 0, None
+    while True:
+        radius = cell * 2.0**ring
+        side = F.lit(cell) * F.pow(F.lit(2.0), F.col("lv"))
+        span = lambda lo, hi: F.explode(F.sequence(F.floor(lo / side), F.floor(hi / side)))  # noqa: E731, B023
+        placed = seg.withColumn("lv", F.greatest(F.col("level"), F.lit(ring))).drop("level")
+        placed = placed.withColumn("gx", span(F.least("ax", "bx"), F.greatest("ax", "bx"))).withColumn("gy", span(F.least("ay", "by"), F.greatest("ay", "by")))
+        probe = left.withColumn("lv", F.explode(F.array(*[F.lit(v) for v in sorted({max(v, ring) for v in levels})]).cast("array<int>")))
+        probe = probe.withColumn("gx", span(F.col("px") - radius, F.col("px") + radius)).withColumn("gy", span(F.col("py") - radius, F.col("py") + radius))
+        near = probe.join(placed, [MAP, "lv", "gx", "gy"]).groupBy(MAP, "point_id").agg(F.min(d).alias("dist")).where(F.col("dist") <= radius)
+        near = store.save(near, f"near-{ring}")
         done = near if done is None else done.unionByName(near)
-        left = left.join(near.select(MAP, "point_id"), [MAP, "point_id"], "left_anti")
-        reach *= 4
-    far = left.join(segments, MAP, "left").groupBy(MAP, "point_id").agg(F.coalesce(F.min(d), F.lit(float("inf"))).alias("dist"))
-    return done.unionByName(far)
+        left = store.save(left.join(near, [MAP, "point_id"], "left_anti"), f"open-{ring + 2}")
+        ring += 2
+        if not left.limit(1).count():
+            break
+    return points.select(MAP, "point_id").join(done, [MAP, "point_id"], "left").select(MAP, "point_id", F.coalesce("dist", finite).alias("dist"))
 
 
 def percentiles(df: DataFrame, col: str, by: str = MAP) -> DataFrame:
@@ -200,8 +215,6 @@ def dead_end_ahead(starts: DataFrame, links: DataFrame, hops: int = 40) -> DataF
     """(map_id, wp_id, dead_end): whether any path of at most ``hops`` links from a waypoint ends. Walked backwards from
     the ends, level by level: every waypoint is met once, however many paths lead from it, and the walk is over when a
     level brings no new ones."""
-    from roadloom.storage import Scratch
-
     store = Scratch(starts.sparkSession, "reach")
     start = store.save(starts.select(MAP, "wp_id").distinct(), "start")
     step = store.save(links.select(MAP, F.col("src").alias("at"), F.col("dst").alias("to")).distinct(), "step")

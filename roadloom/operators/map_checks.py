@@ -320,14 +320,17 @@ def overlap_items(t: MapTables) -> DataFrame:
 def overlaps(t: MapTables) -> DataFrame:
     """(map_id, a, b, legal): pairs of road lanelets whose two boundaries both coincide, straight or crossed.
 
-    Centres meet on a grid of 5 m with the cells around, a cell of the one against nine of the other.
+    Centres meet on a grid of 5 m with the cells around, a cell of the one against nine of the other; only pairs that are
+    near then fetch their sampled sides.
     """
-    i = overlap_items(t)
+    i = Scratch(t.node.sparkSession, "overlaps").save(overlap_items(t), "items")
     cell = lambda c: F.bround(F.col(c) / M.OVERLAP_GRID).cast("bigint")
-    i = i.withColumns({"gx": cell("cx"), "gy": cell("cy")})
-    other = i.select(MAP, "gx", "gy", F.struct(*[c for c in i.columns if c not in (MAP, "gx", "gy")]).alias("o"))
-    wide = i.withColumn("gx", F.explode(F.sequence(F.col("gx") - 1, F.col("gx") + 1))).withColumn("gy", F.explode(F.sequence(F.col("gy") - 1, F.col("gy") + 1)))
-    met = wide.join(other, [MAP, "gx", "gy"]).where("rel_id < o.rel_id").where(F.hypot(F.col("cx") - F.col("o.cx"), F.col("cy") - F.col("o.cy")) <= M.OVERLAP_GRID)
+    at = i.select(MAP, "rel_id", "cx", "cy", cell("cx").alias("gx"), cell("cy").alias("gy"))
+    other = at.select(MAP, "gx", "gy", F.col("rel_id").alias("b"), F.col("cx").alias("bx"), F.col("cy").alias("by"))
+    wide = at.withColumn("gx", F.explode(F.sequence(F.col("gx") - 1, F.col("gx") + 1))).withColumn("gy", F.explode(F.sequence(F.col("gy") - 1, F.col("gy") + 1)))
+    near = wide.join(other, [MAP, "gx", "gy"]).where("rel_id < b").where(F.hypot(F.col("cx") - F.col("bx"), F.col("cy") - F.col("by")) <= M.OVERLAP_GRID)
+    two = i.select(MAP, F.col("rel_id").alias("b"), F.struct(*[c for c in i.columns if c != MAP]).alias("o"))
+    met = near.select(MAP, "rel_id", "b").join(i, [MAP, "rel_id"]).join(two, [MAP, "b"])
 
     def alike(a: str, b: str, la: str, lb: str) -> Column:
         fair = (F.least(la, lb) >= M.MIN_BOUNDARY) & (F.least(la, lb) >= 0.9 * F.greatest(la, lb))

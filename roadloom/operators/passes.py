@@ -19,6 +19,7 @@ from roadloom.functions import resample as R
 from roadloom.operators.components import components
 from roadloom.operators.map_checks import exempt
 from roadloom.operators.maptables import MAP, MapTables, coincident_ways
+from roadloom.operators.skew import numbered
 from roadloom.storage import Scratch
 
 _SHORT = T.ArrayType(T.IntegerType())
@@ -74,7 +75,7 @@ def downsample(t: MapTables, angle: float = M.DOWNSAMPLE_ANGLE, least: float = M
     kept = lines.select(MAP, "way_id", "ord", F.size("pts").alias("before"), F.posexplode(F.transform(keep, lambda i: F.get("pts", i)["node_id"])).alias("seq", "old"))
     first = [MAP, "old"] if share else [MAP, "way_id", "seq", "old"]
     used = kept.groupBy(*first).agg(F.min(F.struct("ord", "seq")).alias("use"))
-    new = used.withColumn("node_id", (F.row_number().over(Window.partitionBy(MAP).orderBy("use")) + 999_999).cast("string")).drop("use")
+    new = numbered(used, MAP, ["use"], "nth").withColumn("node_id", (F.col("nth") + 999_999).cast("string")).drop("use", "nth")
     refs = kept.join(new, first)
     touched = lines.select(MAP, "way_id")
     dead = t.way_node.join(touched, [MAP, "way_id"], "left_anti").select(MAP, "way_id", "seq", F.col("node_id").cast("string").alias("node_id"))
@@ -207,7 +208,7 @@ def decouple(t: MapTables) -> tuple[MapTables, DataFrame]:
     foot = F.coalesce(F.col("subtype").isin(M.PEDESTRIAN), F.lit(False))
     mixed = sub.groupBy(MAP, "way_id").agg(F.bool_or(foot).alias("ped"), F.bool_or(~foot).alias("car")).where("ped and car").select(MAP, "way_id")
     new = mixed.join(t.way.select(MAP, "way_id", "ord"), [MAP, "way_id"]).join(greatest_id(t), MAP)
-    new = new.select(MAP, "way_id", (F.col("top") + 1 + F.row_number().over(Window.partitionBy(MAP).orderBy("ord"))).cast("string").alias("copy"))
+    new = numbered(new, MAP, ["ord"], "nth").select(MAP, "way_id", (F.col("top") + 1 + F.col("nth")).cast("string").alias("copy"))
     ways = t.way.join(new, [MAP, "way_id"]).withColumn("way_id", F.col("copy")).withColumn("ord", F.lit(1 << 40) + F.col("copy").cast("bigint")).select(*t.way.columns)
     refs = t.way_node.join(new, [MAP, "way_id"]).withColumn("way_id", F.col("copy")).select(*t.way_node.columns)
     cars = sub.where(~foot).select(MAP, "rel_id", "role", F.col("way_id").alias("ref")).join(new.withColumnRenamed("way_id", "ref"), [MAP, "ref"])
@@ -259,16 +260,16 @@ def split_lanelets(t: MapTables) -> tuple[MapTables, DataFrame]:
     cut = cut.where("ok").join(failed, [MAP, "component"], "left_anti")
     top = greatest_id(t)
     fresh = cut.where("b is not null").select(MAP, "a", "b", "t", "ord", "piece", "seq").groupBy(MAP, "a", "b", "t").agg(F.min(F.struct("ord", "piece", "seq")).alias("use")).join(top, MAP)
-    fresh = fresh.withColumn("node_id", (F.col("top") + 1 + F.row_number().over(Window.partitionBy(MAP).orderBy("use"))).cast("string"))
-    fresh = store.save(fresh.drop("use"), "fresh")
+    fresh = numbered(fresh, MAP, ["use"], "nth").withColumn("node_id", (F.col("top") + 1 + F.col("nth")).cast("string"))
+    fresh = store.save(fresh.drop("use", "nth"), "fresh")
     ends = t.node.select(MAP, F.col("node_id").cast("string").alias("k"), "x", "y", "ele")
     made = fresh.join(ends.toDF(MAP, "a", "ax", "ay", "ae"), [MAP, "a"]).join(ends.toDF(MAP, "b", "bx", "by", "be"), [MAP, "b"])
     lerp = lambda p, q: F.round(F.col(p) + F.col("t") * (F.col(q) - F.col(p)), 7)
     made = made.select(MAP, "node_id", lerp("ax", "bx").alias("x"), lerp("ay", "by").alias("y"), lerp("ae", "be").alias("ele"))
     count = fresh.groupBy(MAP).agg(F.count("*").alias("made"))
     parts = cut.select(MAP, "way_id", "ord", "piece", "component").distinct().join(top, MAP).join(count, MAP, "left").fillna(0, ["made"])
-    number = F.row_number().over(Window.partitionBy(MAP).orderBy("ord", "piece"))
-    parts = store.save(parts.withColumn("new_way", (F.col("top") + 1 + F.col("made") + number).cast("string")), "parts")
+    parts = numbered(parts, MAP, ["ord", "piece"], "nth")
+    parts = store.save(parts.withColumn("new_way", (F.col("top") + 1 + F.col("made") + F.col("nth")).cast("string")).drop("nth"), "parts")
     refs = cut.join(parts.select(MAP, "way_id", "piece", "new_way"), [MAP, "way_id", "piece"]).join(fresh.select(MAP, "a", "b", "t", "node_id"), [MAP, "a", "b", "t"], "left")
     refs = refs.select(MAP, F.col("new_way").alias("way_id"), "seq", F.coalesce("node_id", "a").alias("node_id"))
     seqs = parts.groupBy(MAP, "way_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("piece", "new_way"))), lambda s: s["new_way"]).alias("pieces"))
@@ -281,7 +282,7 @@ def split_lanelets(t: MapTables) -> tuple[MapTables, DataFrame]:
     ll = ll.select(MAP, "rel_id", F.size("rp").alias("k"), F.posexplode(F.arrays_zip("lp", "rp")).alias("piece", "w")).join(t.lanelets.select(MAP, "rel_id", "ord"), [MAP, "rel_id"])
     ways_made = parts.groupBy(MAP).agg(F.count("*").alias("ways_made"))
     ll = ll.join(top, MAP).join(count, MAP, "left").join(ways_made, MAP, "left").fillna(0, ["made", "ways_made"])
-    ll = ll.withColumn("new_rel", (F.col("top") + 1 + F.col("made") + F.col("ways_made") + F.row_number().over(Window.partitionBy(MAP).orderBy("ord", "piece"))).cast("string"))
+    ll = numbered(ll, MAP, ["ord", "piece"], "nth").withColumn("new_rel", (F.col("top") + 1 + F.col("made") + F.col("ways_made") + F.col("nth")).cast("string"))
     pieces = store.save(ll.select(MAP, "rel_id", "piece", "k", "new_rel", "w"), "pieces")
     split = pieces.select(MAP, "rel_id").distinct()
     both = pieces.select(MAP, F.col("new_rel").alias("rel_id"), F.explode(F.array(F.struct(F.lit(0).alias("seq"), F.lit("right").alias("role"), F.col("w.rp").alias("ref")), F.struct(F.lit(1).alias("seq"), F.lit("left").alias("role"), F.col("w.lp").alias("ref")))).alias("m"))

@@ -77,7 +77,7 @@ _DEG = "(select map_id, node_id, lat, lon from node0)"
 @query("f13_repaired_ends", f""", o as (select map_id, way_id from side join ll using (map_id, rel_id) group by all having bool_and(coalesce(subtype in ('walkway', 'road_shoulder'), false))),
 q as (select w.map_id, w.way_id, w.seq, d.lat, d.lon, row_number() over v as k, count(*) over (partition by w.map_id, w.way_id) as n, count(d.lat + d.lon) over (partition by w.map_id, w.way_id) as c, lead(d.lat) over v as la, lead(d.lon) over v as lo
   from wn w join o using (map_id, way_id) left join {_DEG} d using (map_id, node_id) window v as (partition by w.map_id, w.way_id order by w.seq)),
-g as (select map_id, way_id, any_value(n) as n, cast(bool_or(k = 1 and far) as int) + cast(bool_or(k = n - 1 and far) as int) as d from (select *, 2 * 6378137 * asin(sqrt(power(sin(radians(la - lat) / 2), 2) + cos(radians(lat)) * cos(radians(la)) * power(sin(radians(lo - lon) / 2), 2))) > 3 as far from q where n >= 3 and c = n) group by map_id, way_id)
+g as (select map_id, way_id, any_value(n) as n, cast(bool_or(k = 1 and far) as int) + cast(bool_or(k = n - 1 and far) as int) as d from (select *, 2 * 6378137 * asin(sqrt(power(sin(radians(la - lat) / 2), 2) + cos(radians(lat)) * cos(radians(la)) * power(sin(radians(lo - lon) / 2), 2))) > 30 as far from q where n >= 3 and c = n) group by map_id, way_id)
 select map_id, count(*) as ways_trimmed, cast(sum(d) as bigint) as endpoints_dropped from g where d > 0 and n - d >= 2 group by map_id""")
 def f13(spark, sf):
     t = map_tables(spark, sf)

@@ -347,8 +347,9 @@ def g11(spark, sf):
 
 
 @query("g10_dead_end_ahead", """, st as (select distinct map_id, src_road as src, dst_road as dst from ed), pts as (select distinct map_id, src as n from st union select map_id, dst from st),
-reach as (select map_id, n, n as at, 0 as hop from pts union select r.map_id, r.n, s.dst, r.hop + 1 from reach r join st s on s.map_id = r.map_id and s.src = r.at where hop < 3)
-select map_id, n as wp_id, bool_or(not exists (select 1 from st s where s.map_id = r.map_id and s.src = r.at)) as dead_end from reach r group by all""", "recursive " + _ROADS)
+ends as (select map_id, n from pts p where not exists (select 1 from st s where s.map_id = p.map_id and s.src = p.n)),
+reach as (select map_id, n, 0 as hop from ends union select s.map_id, s.src, r.hop + 1 from reach r join st s on s.map_id = r.map_id and s.dst = r.n where hop < 39)
+select map_id, n as wp_id, exists (select 1 from reach r where r.map_id = p.map_id and r.n = p.n) as dead_end from pts p""", "recursive " + _ROADS)
 def g10(spark, sf):
     e = L.valid_edges(edges(spark, sf), lanes(spark, sf)).select("map_id", F.col("src_road").alias("src"), F.col("dst_road").alias("dst")).distinct()
     starts = e.select("map_id", F.col("src").alias("wp_id")).union(e.select("map_id", "dst"))
@@ -429,7 +430,7 @@ def a47(spark, sf):
 
 
 @query("s15_node_samples", """, o as (select map_id, node_id, row_number() over (partition by map_id order by node_id) - 1 as rn, count(*) over (partition by map_id) as c, lat, lon from (select * from osm_node qualify row_number() over (partition by map_id, node_id order by loaded_at desc) = 1))
-select map_id, node_id from o where rn % greatest(1, c // 100) = 0 and lat is not null and lon is not null""", _DEG)
+select map_id, node_id from o where rn % greatest(1, c // 2000) = 0 and lat is not null and lon is not null""", _DEG)
 def s15(spark, sf):
     from roadloom.sources.osm_xml import node_samples
 

@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import json
+import re
+import uuid
 from collections.abc import Iterator
 from pathlib import Path
 from xml.sax.saxutils import quoteattr
 
 import pandas as pd
+from pyarrow import fs as pa_fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadloom import model as M
 from roadloom.functions import geo as G
 from roadloom.operators.maptables import MAP, MapTables
+from roadloom.storage import Scratch
 
 
 def _attr(name: str, value: Column) -> Column:
@@ -51,36 +55,54 @@ def osm_lines(t: MapTables) -> DataFrame:
     return node.select(*cols).unionByName(way.select(*cols)).unionByName(rel.select(*cols))
 
 
-def write_osm(t: MapTables, folder: str) -> None:
-    """One document per map, ``<folder>/<map>.osm``. Elements are formatted in the JVM; the lines of a map meet sorted in
-    one task, which streams them to the file, so a document is never held in memory. ``folder`` is reachable by all."""
+def map_file(map_id: object, root: str = "") -> str:
+    """The file of a map below the output folder: its own path below ``root`` (without scheme and leading slashes), so that
+    maps of one file name in different folders stay apart; with the suffix of lanelet maps."""
+    bare = lambda p: re.sub(r"^[a-z0-9+.-]+:/*", "", p).strip("/")
+    name, root = bare(str(map_id)), bare(root)
+    name = name.removeprefix(root + "/") if root else name
+    parts = [p.replace(":", "_") for p in name.split("/") if p not in ("", ".", "..")] or ["_"]
+    return "/".join(parts) + ("" if parts[-1].endswith(".osm") else ".osm")
+
+
+def write_osm(t: MapTables, folder: str, root: str = "") -> DataFrame:
+    """One document per map at ``map_file``; returns (map_id, file). Elements are formatted in the JVM; the lines of a map
+    meet sorted in one task, which streams them to a draft on the file system of ``folder`` (any that Arrow knows) and
+    gives it its name once it is whole, so a repeated task never leaves a part of a document. A map that is no path goes
+    by its own text."""
 
     def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out, current, done = None, None, []
+        disk, base = pa_fs.FileSystem.from_uri(folder if re.match(r"^[a-z0-9+.-]+:", folder) else str(Path(folder).absolute()))
+        out, current, draft, done = None, None, "", []
+
+        def close() -> None:
+            out.write(b"</osm>\n")
+            out.close()
+            disk.move(draft, f"{base}/{done[-1][1]}")
+
         for df in batches:
             for name, xml in zip(df[MAP], df["xml"]):
-                if name != current:
+                if out is None or name != current:
                     if out:
-                        out.write("</osm>\n")
-                        out.close()
-                    stem = Path(str(name)).stem
-                    current, out = name, open(f"{folder}/{stem}.osm", "w", encoding="utf-8")
-                    out.write("<?xml version='1.0' encoding='UTF-8'?>\n<osm version=\"0.6\" generator=\"roadloom\">\n")
-                    done.append(stem)
-                out.write(xml + "\n")
+                        close()
+                    file = map_file(name, root)
+                    disk.create_dir(f"{base}/{file}".rpartition("/")[0], recursive=True)
+                    draft = f"{base}/{file}.{uuid.uuid4().hex[:8]}.draft"
+                    current, out = name, disk.open_output_stream(draft)
+                    out.write(b"<?xml version='1.0' encoding='UTF-8'?>\n<osm version=\"0.6\" generator=\"roadloom\">\n")
+                    done.append((str(name), file))
+                out.write((xml + "\n").encode("utf-8", "replace"))
         if out:
-            out.write("</osm>\n")
-            out.close()
-        yield pd.DataFrame({"name": done})
+            close()
+        yield pd.DataFrame(done, columns=["map_id", "file"])
 
-    Path(folder).mkdir(parents=True, exist_ok=True)
     lines = osm_lines(t).repartition(MAP).sortWithinPartitions(MAP, "part", "ord", "id").select(MAP, "xml")
-    lines.mapInPandas(save, "name string").count()
+    return Scratch(t.node.sparkSession, "written").save(lines.mapInPandas(save, "map_id string, file string"), "files")
 
 
 def write_csv(df: DataFrame, path: str, order: list) -> None:
-    """One CSV file with a header, sorted."""
-    df.orderBy(*order).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header, sorted: files in ranges of the order, named in that order."""
+    df.orderBy(*order).write.mode("overwrite").option("header", True).csv(path)
 
 
 def forward_mapping(ids: DataFrame) -> DataFrame:
@@ -142,8 +164,6 @@ def write_yaml(path: str, record: dict) -> None:
 
 def with_georeference(xml: str, text: str) -> str:
     """A plan-view document with its reference text replaced, as CDATA; put into the header where it has none."""
-    import re
-
     safe = text.replace("]]>", "]]]]><![CDATA[>")
     element = f"<geoReference><![CDATA[{safe}]]></geoReference>"
     out, n = re.subn(r"<geoReference\b[^>]*?(/>|>.*?</geoReference>)", lambda _: element, xml, count=1, flags=re.S)

@@ -79,9 +79,8 @@ def osm_tables(elements: DataFrame) -> MapTables:
 
 def node_samples(node: DataFrame, most: int = 2000) -> DataFrame:
     """Every k-th node of a map by document order, k = max(1, nodes // most), of those the ones with all coordinates."""
-    from pyspark.sql import Window
+    from roadloom.operators.skew import numbered
 
-    per = Window.partitionBy("map_id")
-    rn, total = F.row_number().over(per.orderBy("ord")) - 1, F.count("*").over(per)
-    stride = F.greatest(F.lit(1), F.floor(total / most))
-    return node.withColumns({"_rn": rn, "_k": stride}).where("_rn % _k = 0").drop("_rn", "_k").where("lat is not null and lon is not null and tags['local_x'] is not null and tags['local_y'] is not null")
+    total = node.groupBy("map_id").agg(F.greatest(F.lit(1), F.floor(F.count("*") / most)).alias("_k"))
+    rows = numbered(node, "map_id", ["ord"], "_rn").join(total, "map_id").where("(_rn - 1) % _k = 0").drop("_rn", "_k")
+    return rows.where("lat is not null and lon is not null and tags['local_x'] is not null and tags['local_y'] is not null")
