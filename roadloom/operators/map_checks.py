@@ -41,10 +41,22 @@ def n(name: str) -> Column:
     return F.col(name).cast("string")
 
 
+def ruled_lanelets(t: MapTables) -> DataFrame:
+    """(map_id, rel_id) of relations with a speed limit as regulatory element."""
+    speed = t.regelems.where("subtype = 'speed_limit'").select(MAP, F.col("rel_id").alias("ref"))
+    return t.member.where("mtype = 'relation'").join(speed, [MAP, "ref"], "left_semi").select(MAP, "rel_id").distinct()
+
+
+def loose_crosswalks(t: MapTables) -> DataFrame:
+    """Crosswalks that no regulatory element refers to."""
+    reg = t.regelems.where("subtype = 'crosswalk'").select(MAP, "rel_id")
+    told = t.member.where("role = 'refers'").join(reg, [MAP, "rel_id"], "left_semi").select(MAP, F.col("ref").alias("rel_id")).distinct()
+    return t.lanelets.where("subtype = 'crosswalk'").join(told, [MAP, "rel_id"], "left_anti")
+
+
 def basic_tags(t: MapTables) -> DataFrame:
     """vm-01-01: drivable lanelets carry location, one_way and a speed limit, as tag or by a regulatory element."""
-    speed = t.regelems.where("subtype = 'speed_limit'").select(MAP, F.col("rel_id").alias("ref"))
-    limited = t.member.where("mtype = 'relation'").join(speed, [MAP, "ref"], "left_semi").select(MAP, "rel_id").distinct().withColumn("ruled", F.lit(True))
+    limited = ruled_lanelets(t).withColumn("ruled", F.lit(True))
     roads = t.lanelets.where(F.col("subtype").isin(M.DRIVABLE)).join(limited, [MAP, "rel_id"], "left")
     found = roads.groupBy(MAP).agg(
         F.count("*").alias("total"), count_if("location is null").alias("loc"), count_if("one_way is null").alias("ow"), count_if("speed_limit is null and ruled is null").alias("spd")
@@ -273,10 +285,8 @@ def traffic_lights(t: MapTables) -> DataFrame:
 
 def crosswalks(t: MapTables) -> DataFrame:
     """vm-05-01: crosswalks have polygons of four corners, an element that refers to every one, and let people pass."""
-    reg = t.regelems.where("subtype = 'crosswalk'").select(MAP, "rel_id")
-    told = t.member.where("role = 'refers'").join(reg, [MAP, "rel_id"], "left_semi").select(MAP, F.col("ref").alias("rel_id")).distinct()
     walks = t.lanelets.where("subtype = 'crosswalk'")
-    loose = walks.join(told, [MAP, "rel_id"], "left_anti").groupBy(MAP).agg(F.count("*").alias("loose"))
+    loose = loose_crosswalks(t).groupBy(MAP).agg(F.count("*").alias("loose"))
     closed = walks.groupBy(MAP).agg(count_if(~F.coalesce(F.lower("pedestrian").isin("yes", "true", "1"), F.lit(False))).alias("closed"))
     poly = t.way.where("type = 'crosswalk_polygon'").join(t.polylines, [MAP, "way_id"], "left")
     flat = poly.groupBy(MAP).agg(count_if(F.coalesce(P.distinct_corners(F.col("pts")) < 4, F.lit(True))).alias("flat"))

@@ -59,11 +59,11 @@ def simplified(pts: Column, angle: float = M.DOWNSAMPLE_ANGLE, least: float = M.
     return run(pts)
 
 
-def downsample(t: MapTables, angle: float = M.DOWNSAMPLE_ANGLE, least: float = M.DOWNSAMPLE_DISTANCE, share: bool = True) -> tuple[MapTables, DataFrame]:
+def downsample(t: MapTables, angle: float = M.DOWNSAMPLE_ANGLE, least: float = M.DOWNSAMPLE_DISTANCE, share: bool = True, plane: bool = True) -> tuple[MapTables, DataFrame]:
     """Simplifies ways and renumbers their nodes from 1,000,000 in order of first use.
 
     Nodes keep one new id over all ways (``share``), or get one per way and point. Coordinates become Web Mercator
-    metres. Feature ways keep all points. Ways with fewer than two resolvable refs stay as they are, so their refs no
+    metres; without ``plane`` nodes keep lat and lon instead, and the metres only decide. Feature ways keep all points. Ways with fewer than two resolvable refs stay as they are, so their refs no
     longer lead anywhere; the statistics count them. ``t.node`` needs lat and lon.
     """
     x, y = G.web_mercator(F.col("lat"), F.col("lon"))
@@ -79,7 +79,8 @@ def downsample(t: MapTables, angle: float = M.DOWNSAMPLE_ANGLE, least: float = M
     refs = kept.join(new, first)
     touched = lines.select(MAP, "way_id")
     dead = t.way_node.join(touched, [MAP, "way_id"], "left_anti").select(MAP, "way_id", "seq", F.col("node_id").cast("string").alias("node_id"))
-    node = new.join(nodes.withColumnRenamed("node_id", "old"), [MAP, "old"]).select(MAP, "node_id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"), F.round("ele", 4).alias("ele"))
+    place = [F.round(c, 4).alias(c) for c in ("x", "y")] if plane else [F.col("lat"), F.col("lon")]
+    node = new.join(nodes.withColumnRenamed("node_id", "old"), [MAP, "old"]).select(MAP, "node_id", *place, F.round("ele", 4).alias("ele"))
     way_node = refs.select(MAP, "way_id", "seq", "node_id").unionByName(dead)
     after = new.groupBy(MAP).agg(F.count("*").alias("nodes_after"))
     stats = t.node.groupBy(MAP).agg(F.count("*").alias("nodes_before")).join(after, MAP, "left").join(dead.groupBy(MAP).agg(F.count_distinct("way_id").alias("ways_left_dangling")), MAP, "left").fillna(0)

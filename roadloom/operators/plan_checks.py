@@ -155,19 +155,25 @@ def check_lane_links(t: PlanTables) -> DataFrame:
     return _row(t, found, "xodr-08", _verdict(), F.col("first"), F.col("bad"), F.col("total"))
 
 
+def connection_roads(connection: DataFrame, road: DataFrame) -> DataFrame:
+    """Connections with ``fault``: a road is missing, or the connecting road belongs to another junction. ``road`` has one
+    row per id."""
+    c = connection.join(road.select(MAP, F.col("road_id").alias("incoming_road"), F.lit(True).alias("in_there")), [MAP, "incoming_road"], "left")
+    c = c.join(road.select(MAP, F.col("road_id").alias("connecting_road"), F.lit(True).alias("con_there"), F.col("junction").alias("con_junction")), [MAP, "connecting_road"], "left")
+    fault = F.when(F.col("in_there").isNull() | F.col("con_there").isNull(), "road missing").when(~F.col("con_junction").eqNullSafe(F.col("junction_id")), "wrong junction")
+    return c.withColumn("fault", fault).drop("in_there", "con_there", "con_junction")
+
+
 def connection_faults(t: PlanTables) -> DataFrame:
-    """Connections with ``fault``: a road is missing, the connecting road belongs to another junction, or a lane link
-    names a lane that is not there; the first that holds."""
-    roads = t.road.groupBy(MAP, "road_id").agg(F.max_by("junction", "ord").alias("junction"))
-    c = t.connection.join(roads.select(MAP, F.col("road_id").alias("incoming_road"), F.lit(True).alias("in_there")), [MAP, "incoming_road"], "left")
-    c = c.join(roads.select(MAP, F.col("road_id").alias("connecting_road"), F.lit(True).alias("con_there"), F.col("junction").alias("con_junction")), [MAP, "connecting_road"], "left")
+    """Connections with ``fault``: those of ``connection_roads``, or a lane link names a lane that is not there; the first
+    that holds."""
+    c = connection_roads(t.connection, t.road.groupBy(MAP, "road_id").agg(F.max_by("junction", "ord").alias("junction")))
     lanes = t.lanes_of_road.select(MAP, "road_id", "lane_id").withColumn("ok", F.lit(True))
     ll = t.junction_lane_link.join(t.connection.select(MAP, F.col("ord").cast("string").alias("connection_ord"), "incoming_road", "connecting_road"), [MAP, "connection_ord"])
     ll = ll.join(lanes.toDF(MAP, "incoming_road", "from_lane", "f_ok"), [MAP, "incoming_road", "from_lane"], "left").join(lanes.toDF(MAP, "connecting_road", "to_lane", "t_ok"), [MAP, "connecting_road", "to_lane"], "left")
     loose = ll.groupBy(MAP, "connection_ord").agg(F.bool_or(F.col("f_ok").isNull() | F.col("t_ok").isNull()).alias("loose"))
     c = c.withColumn("connection_ord", F.col("ord").cast("string")).join(loose, [MAP, "connection_ord"], "left")
-    fault = F.when(F.col("in_there").isNull() | F.col("con_there").isNull(), "road missing").when(~F.col("con_junction").eqNullSafe(F.col("junction_id")), "wrong junction").when(F.col("loose"), "lane link")
-    return c.withColumn("fault", fault)
+    return c.withColumn("fault", F.coalesce("fault", F.when(F.col("loose"), "lane link")))
 
 
 def check_junctions(t: PlanTables) -> DataFrame:

@@ -12,6 +12,7 @@ from roadloom.operators import links as L
 from roadloom.operators import map_checks as C
 from roadloom.operators import maptables as T
 from roadloom.operators import passes as X
+from roadloom.operators import summaries as S
 from roadloom.operators.keys import read_decimal
 from roadloom.operators.projection import fit_projections
 from roadloom.plans.carriers import current, map_tables
@@ -19,6 +20,8 @@ from roadloom.plans.map_queries import _PAIRS, BASE
 from roadloom.plans.more_queries import _ROADS, connections, degrees, edges, lanes, links, roads
 from roadloom.sinks import writers as W
 from roadloom.sources.config import DEFAULTS, speed_kmh
+from roadloom.sources.osm_xml import osm_tables, read_osm
+from roadloom.storage import Scratch
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -44,13 +47,12 @@ def f01(spark, sf):
 
 @query("f04_road_lanelets", " select map_id, rel_id, subtype, turn_direction is not null as connector from ll where subtype in ('road', 'road_shoulder')")
 def f04(spark, sf):
-    ll = map_tables(spark, sf).lanelets.where(F.col("subtype").isin(M.DRIVABLE))
-    return ll.select("map_id", "rel_id", "subtype", F.col("turn_direction").isNotNull().alias("connector"))
+    return S.road_lanelets(map_tables(spark, sf)).select("map_id", "rel_id", "subtype", "connector")
 
 
 @query("f06_regulatory_kinds", " select map_id, subtype, count(*) as n from reg group by all")
 def f06(spark, sf):
-    return map_tables(spark, sf).regelems.groupBy("map_id", "subtype").agg(F.count("*").alias("n"))
+    return S.regulatory_kinds(map_tables(spark, sf))
 
 
 @query("f07_exempt_lanelets", """ select l.map_id, l.rel_id, b.l is null or b.r is null or coalesce(subtype in ('walkway', 'crosswalk'), false) or turn_direction is not null as exempt from ll l left join bnd b using (map_id, rel_id)""")
@@ -66,9 +68,7 @@ def f08(spark, sf):
 
 @query("f09_subtype_boundaries", " select s.map_id, l.subtype, count(*) as lines from side s join ll l using (map_id, rel_id) join len using (map_id, way_id) where len.n >= 2 and len.len >= 1 group by all")
 def f09(spark, sf):
-    t = map_tables(spark, sf)
-    sub = t.sides.join(t.lanelets.select("map_id", "rel_id", "subtype"), ["map_id", "rel_id"]).join(t.boundary_lines.select("map_id", "way_id"), ["map_id", "way_id"])
-    return sub.groupBy("map_id", "subtype").agg(F.count("*").alias("lines"))
+    return S.subtype_boundaries(map_tables(spark, sf)).groupBy("map_id", "subtype").agg(F.count("*").alias("lines"))
 
 
 _DEG = "(select map_id, node_id, lat, lon from node0)"
@@ -98,16 +98,12 @@ def j02(spark, sf):
 
 @query("j03_ruled_speed", " select distinct m.map_id, m.rel_id from mem m join reg g on g.map_id = m.map_id and g.rel_id = m.ref where g.subtype = 'speed_limit' and m.mtype = 'relation'")
 def j03(spark, sf):
-    t = map_tables(spark, sf)
-    speed = t.regelems.where("subtype = 'speed_limit'").select("map_id", F.col("rel_id").alias("ref"))
-    return t.member.where("mtype = 'relation'").join(speed, ["map_id", "ref"], "left_semi").select("map_id", "rel_id").distinct()
+    return C.ruled_lanelets(map_tables(spark, sf))
 
 
 @query("j04_loose_crosswalks", " select map_id, rel_id from ll l where subtype = 'crosswalk' and not exists (select 1 from mem m join reg g on g.map_id = m.map_id and g.rel_id = m.rel_id where m.map_id = l.map_id and m.ref = l.rel_id and m.role = 'refers' and g.subtype = 'crosswalk')")
 def j04(spark, sf):
-    t = map_tables(spark, sf)
-    told = t.member.where("role = 'refers'").join(t.regelems.where("subtype = 'crosswalk'").select("map_id", "rel_id"), ["map_id", "rel_id"], "left_semi").select("map_id", F.col("ref").alias("rel_id"))
-    return t.lanelets.where("subtype = 'crosswalk'").join(told, ["map_id", "rel_id"], "left_anti").select("map_id", "rel_id")
+    return C.loose_crosswalks(map_tables(spark, sf)).select("map_id", "rel_id")
 
 
 @query("j12_shoulder_twins", ", " + _PAIRS + """, subl as (select distinct s.map_id, s.way_id, l.subtype from side s join ll l using (map_id, rel_id) join lines using (map_id, way_id))
@@ -156,27 +152,23 @@ def a42(spark, sf):
 
 @query("a44_map_centres", " select map_id, round_even((min(lat) + max(lat)) / 2, 6) as lat, round_even((min(lon) + max(lon)) / 2, 6) as lon from (select * from node0 where lat is not null and lon is not null) group by map_id")
 def a44(spark, sf):
-    mid = lambda c: F.bround((F.min(c) + F.max(c)) / 2, 6).alias(c)
-    return degrees(spark, sf).groupBy("map_id").agg(mid("lat"), mid("lon"))
+    return S.map_centres(degrees(spark, sf))
 
 
 @query("a48_busiest_junction", " select map_id, junction_id, n from (select *, row_number() over (partition by map_id order by n desc, junction_id) as k from (select map_id, junction_id, count(*) as n from cn where junction_id is not null group by all)) where k = 1", _ROADS)
 def a48(spark, sf):
-    c = connections(spark, sf).where("junction_id is not null").groupBy("map_id", "junction_id").agg(F.count("*").alias("n"))
-    return c.groupBy("map_id").agg(F.max(F.struct("n", (-F.col("junction_id")).alias("j"))).alias("b")).select("map_id", (-F.col("b.j")).alias("junction_id"), "b.n")
+    return S.busiest(connections(spark, sf), "junction_id")
 
 
 @query("a49_extent", " select map_id, count(distinct way_id) as ways, count(distinct node_id) as nodes, min(x) as x0, max(x) as x1, min(y) as y0, max(y) as y1, count(*) filter (ele is null) as without_ele from pt group by map_id")
 def a49(spark, sf):
     t = map_tables(spark, sf)
-    p = t.way_node.join(t.node, ["map_id", "node_id"])
-    return p.groupBy("map_id").agg(F.count_distinct("way_id").alias("ways"), F.count_distinct("node_id").alias("nodes"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"), F.count_if(F.col("ele").isNull()).alias("without_ele"))
+    return S.extent(t.way_node.join(t.node, ["map_id", "node_id"]), ["way_id", "node_id"], "ele")
 
 
 @query("c15_fixed_decimals", " select map_id, node_id, floor(x * 10000 + 0.5) / 10000 as x, floor(y * 10000 + 0.5) / 10000 as y, floor(coalesce(ele, 0) * 10000 + 0.5) / 10000 as ele from node")
 def c15(spark, sf):
-    fixed = lambda c: F.floor(c * 10000 + 0.5) / 10000
-    return map_tables(spark, sf).node.select("map_id", "node_id", fixed(F.col("x")).alias("x"), fixed(F.col("y")).alias("y"), fixed(F.coalesce("ele", F.lit(0.0))).alias("ele"))
+    return map_tables(spark, sf).node.select("map_id", "node_id", *[S.fixed(F.coalesce(c, F.lit(0.0))).alias(c) for c in ("x", "y", "ele")])
 
 
 @query("c18_greatest_id", " select map_id, max(i) as top from (select map_id, node_id as i from node union all select map_id, way_id from way union all select map_id, rel_id from rel) group by map_id")
@@ -195,9 +187,7 @@ def s10(spark, sf):
 @query("s17_strided_candidates", " select map_id, way_id, k from (select map_id, way_id, row_number() over (partition by map_id order by way_id) - 1 as k, count(*) over (partition by map_id) as c from way) where k % greatest(1, c // 8) = 0 and k // greatest(1, c // 8) < 8")
 def s17(spark, sf):
     """Eight candidates at an even stride from each map: a sampling operator."""
-    per = Window.partitionBy("map_id")
-    w = map_tables(spark, sf).way.select("map_id", "way_id", (F.row_number().over(per.orderBy("way_id")) - 1).cast("bigint").alias("k"), F.greatest(F.lit(1), F.floor(F.count("*").over(per) / 8)).alias("step"))
-    return w.where("k % step = 0 and k div step < 8").select("map_id", "way_id", "k")
+    return S.strided(map_tables(spark, sf).way.select("map_id", "way_id"), "way_id", 8)
 
 
 @query("geo_p08_centre_in_outline", """, ring as (select b.map_id, b.rel_id, p.x, p.y, p.k as k from bnd b join pt p on p.map_id = b.map_id and p.way_id = b.l union all select b.map_id, b.rel_id, p.x, p.y, 1000000 - p.k from bnd b join pt p on p.map_id = b.map_id and p.way_id = b.r),
@@ -244,3 +234,27 @@ def g08(spark, sf):
     axis = lambda p, c: F.transform(p, lambda q: q[c])
     s = s.select(text("map_id"), text("rel_id"), "ord", F.col("l").cast("string").alias("left"), F.col("l").isNotNull().alias("left_same"), F.col("r").cast("string").alias("right"), F.col("r").isNotNull().alias("right_same"), axis("lp", "x").alias("lx"), axis("lp", "y").alias("ly"), axis("rp", "x").alias("rx"), axis("rp", "y").alias("ry"))
     return L.sanitize_adjacency(s)
+
+
+@query("f18_heights", """, z as (select map_id, way_id, list(coalesce(ele, 0) order by seq) as z, bool_or(ele is not null) as high from pt group by all)
+select b.map_id, b.rel_id, coalesce(round(list_sum(x.z), 4), 0) as left_sum, coalesce(round(list_sum(y.z), 4), 0) as right_sum, coalesce(len(x.z), 0) as left_points, coalesce(len(y.z), 0) as right_points
+from bnd b left join z x on x.map_id = b.map_id and x.way_id = b.l left join z y on y.map_id = b.map_id and y.way_id = b.r where coalesce(x.high, false) or coalesce(y.high, false)""")
+def f18(spark, sf):
+    """the heights that taking lanelets into the plane sets aside, after they were put back once."""
+    s = map_tables(spark, sf).shaped.select("map_id", "rel_id", "lp", "rp")
+    flat, z = S.strip_z(s)
+    _, z = S.strip_z(S.restore_z(flat, z))
+    total = lambda c: F.round(F.aggregate(c, F.lit(0.0), lambda a, v: a + v), 4)
+    return z.select("map_id", "rel_id", total("lz").alias("left_sum"), total("rz").alias("right_sum"), F.size("lz").cast("bigint").alias("left_points"), F.size("rz").cast("bigint").alias("right_points"))
+
+
+@query("s01_written_maps", """ select cast(map_id as varchar) as map_id, cast(way_id as varchar) as way_id, row_number() over (partition by map_id, way_id order by seq) - 1 as nth, cast(node_id as varchar) as node_id, round(node.x, 4) as x, round(node.y, 4) as y, way.type from wn left join node using (map_id, node_id) join way using (map_id, way_id)""")
+def s01(spark, sf):
+    """All maps written as documents, one each, and read back from these files. A document holds
+    the readable refs only, so ``nth`` is the place among those."""
+    store = Scratch(spark, "documents")
+    W.write_osm(map_tables(spark, sf), store.path("maps"))
+    t = osm_tables(read_osm(spark, store.path("maps"))).saved(store, "read")
+    rows = t.way_node.join(t.node.select("map_id", "node_id", "x", "y"), ["map_id", "node_id"], "left").join(t.way.select("map_id", "way_id", "type"), ["map_id", "way_id"])
+    number = F.regexp_extract("map_id", r"([^/]+)\.osm$", 1).alias("map_id")
+    return rows.select(number, "way_id", F.col("seq").cast("bigint").alias("nth"), "node_id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"), "type")

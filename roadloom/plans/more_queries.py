@@ -14,6 +14,7 @@ from roadloom.operators import links as L
 from roadloom.operators import map_checks as C
 from roadloom.operators import passes as X
 from roadloom.operators import plan_checks as K
+from roadloom.operators import summaries as S
 from roadloom.operators.keys import read_id
 from roadloom.storage import Scratch
 from roadloom.plans.carriers import current, map_tables
@@ -252,11 +253,7 @@ def j06(spark, sf):
 @query("j18_connection_faults", """ select c.ord, c.map_id, case when i.road_id is null or r.road_id is null then 'road missing' when r.junction is distinct from c.junction_id then 'wrong junction' end as fault
 from cn c left join rd i on i.map_id = c.map_id and i.road_id = c.incoming_road left join rd r on r.map_id = c.map_id and r.road_id = c.connecting_road""", _ROADS)
 def j18(spark, sf):
-    r = roads(spark, sf)
-    c = connections(spark, sf).join(r.select("map_id", F.col("road_id").alias("incoming_road"), F.lit(True).alias("i")), ["map_id", "incoming_road"], "left")
-    c = c.join(r.select("map_id", F.col("road_id").alias("connecting_road"), F.lit(True).alias("k"), "junction"), ["map_id", "connecting_road"], "left")
-    fault = F.when(F.col("i").isNull() | F.col("k").isNull(), "road missing").when(~F.col("junction").eqNullSafe(F.col("junction_id")), "wrong junction")
-    return c.select("ord", "map_id", fault.alias("fault"))
+    return K.connection_roads(connections(spark, sf), roads(spark, sf)).select("ord", "map_id", "fault")
 
 
 @query("j19_unreferenced_roads", """ select map_id, road_id, not exists (select 1 from cn c where c.map_id = rd.map_id and c.junction_id = rd.junction and c.connecting_road = rd.road_id) as bad from rd where junction is not null""", _ROADS)
@@ -276,7 +273,7 @@ SQL["j27_repeated_edges"] = f"with {_ROADS} {SQL['j27_repeated_edges']}"
 
 @query("a32_repeated_road_names", " select map_id, name, count(*) as n from rd group by all having count(*) > 1", _ROADS)
 def a32(spark, sf):
-    return roads(spark, sf).groupBy("map_id", "name").agg(F.count("*").alias("n")).where("n > 1")
+    return S.repeated(roads(spark, sf), "name")
 
 
 _CC = """, e as (select map_id, 'w' || way_id as a, 'r' || rel_id as b from side), bi as (select map_id, a, b from e union select map_id, b, a from e),

@@ -134,6 +134,34 @@ def report_json(results: DataFrame) -> DataFrame:
     return results.groupBy(MAP).agg(F.to_json(F.array_sort(F.collect_list(F.struct(*cols)))).alias("json"))
 
 
+def metrics_json(metrics: DataFrame, worst: DataFrame) -> DataFrame:
+    """(map_id, json): the fidelity metrics of each map as one document, with its worst matches (map_id, rel_id, iou)."""
+    last = worst.groupBy(MAP).agg(F.array_sort(F.collect_list(F.struct("iou", "rel_id"))).alias("worst"))
+    cols = [c for c in metrics.columns if c != MAP]
+    return metrics.join(last, MAP, "left").select(MAP, F.to_json(F.struct(*cols, F.coalesce("worst", F.array()).alias("worst")), {"ignoreNullFields": "false"}).alias("json"))
+
+
+def metrics_summary(metrics: DataFrame) -> DataFrame:
+    """The fidelity metrics as short texts: shares to three decimals, square metres to one, metres to two."""
+    trio = lambda form, *cols: F.format_string("/".join([form] * 3), *cols)
+    texts = {
+        "lanelets": F.format_string("%d->%d", "lanelets_original", "lanelets_roundtrip"), "union_iou": F.round("union_iou", 3), "uncovered_m2": F.round("uncovered_area", 1), "extra_m2": F.round("extra_area", 1),
+        "match_iou_p50/p90/min": trio("%.3f", "match_iou_p50", "match_iou_p90", "match_iou_min"), "boundary_dev_p50/p90/max_m": trio("%.2f", "boundary_dev_p50", "boundary_dev_p90", "boundary_dev_max"),
+    }
+    have = {k: v for k, v in texts.items() if k not in ("union_iou", "uncovered_m2", "extra_m2") or {"union_iou", "uncovered_area", "extra_area"} <= set(metrics.columns)}
+    return metrics.select(MAP, *[v.alias(k) for k, v in have.items()])
+
+
+def simulator_report(checks: DataFrame, facts: DataFrame) -> DataFrame:
+    """(map_id, json, summary): a simulator import's facts (map_id and any columns) and checks (map_id, check, status,
+    detail) as one document per map, and a line that counts them."""
+    many = lambda s: F.count_if(F.col("status") == s)
+    line = F.format_string("import check: %d PASS, %d WARN, %d FAIL of %d", many(M.PASS), many(M.WARN), many(M.FAIL), F.count("*"))
+    per = checks.groupBy(MAP).agg(F.array_sort(F.collect_list(F.struct("check", "status", "detail"))).alias("results"), line.alias("summary"))
+    cols = [c for c in facts.columns if c != MAP]
+    return facts.join(per, MAP, "left").select(MAP, F.to_json(F.struct(*cols, "results")).alias("json"), F.coalesce("summary", F.lit("import check: 0 PASS, 0 WARN, 0 FAIL of 0")).alias("summary"))
+
+
 def exit_code(results: DataFrame) -> int:
     """1 if any check fails."""
     return int(bool(results.agg(F.bool_or(F.col("status") == M.FAIL)).first()[0]))
