@@ -248,7 +248,7 @@ def f18(spark, sf):
     return z.select("map_id", "rel_id", total("lz").alias("left_sum"), total("rz").alias("right_sum"), F.size("lz").cast("bigint").alias("left_points"), F.size("rz").cast("bigint").alias("right_points"))
 
 
-@query("s01_written_maps", """ select cast(map_id as varchar) as map_id, cast(way_id as varchar) as way_id, row_number() over (partition by map_id, way_id order by seq) - 1 as nth, cast(node_id as varchar) as node_id, round(node.x, 4) as x, round(node.y, 4) as y, way.type from wn left join node using (map_id, node_id) join way using (map_id, way_id)""")
+@query("s01_written_maps", """ select cast(map_id as varchar) as map_id, cast(way_id as varchar) as way_id, row_number() over (partition by map_id, way_id order by seq) - 1 as nth, cast(node_id as varchar) as node_id, cast(printf('%.4f', node.x) as double) as x, cast(printf('%.4f', node.y) as double) as y, way.type from wn left join node using (map_id, node_id) join way using (map_id, way_id)""")
 def s01(spark, sf):
     """All maps written as documents, one each, and read back from these files. A document holds
     the readable refs only, so ``nth`` is the place among those."""
@@ -257,4 +257,4 @@ def s01(spark, sf):
     t = osm_tables(read_osm(spark, store.path("maps"))).saved(store, "read")
     rows = t.way_node.join(t.node.select("map_id", "node_id", "x", "y"), ["map_id", "node_id"], "left").join(t.way.select("map_id", "way_id", "type"), ["map_id", "way_id"])
     number = F.regexp_extract("map_id", r"([^/]+)\.osm$", 1).alias("map_id")
-    return rows.select(number, "way_id", F.col("seq").cast("bigint").alias("nth"), "node_id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"), "type")
+    return rows.select(number, "way_id", F.col("seq").cast("bigint").alias("nth"), "node_id", "x", "y", "type")

@@ -10,9 +10,11 @@ from pathlib import Path
 from xml.sax.saxutils import quoteattr
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs as pa_fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadloom import model as M
 from roadloom.functions import geo as G
@@ -38,9 +40,16 @@ def tag_map(**cols: Column) -> Column:
     return F.map_filter(F.map_from_entries(F.array(*[F.struct(F.lit(k), v.cast("string")) for k, v in cols.items()])), lambda _, v: v.isNotNull())
 
 
+@F.arrow_udf(T.StringType())
+def fixed_text(value: pa.Array) -> pa.Array:
+    """A number with four decimals, rounded by its exact binary value; the JVM rounds the shortest decimal text instead,
+    which differs where that ends in a 5."""
+    return pa.array([None if v is None else f"{v:.4f}" for v in value.to_pylist()], pa.string())
+
+
 def osm_lines(t: MapTables) -> DataFrame:
     """(map_id, part, ord, xml): one line of XML per element: nodes, ways and relations, each in document order."""
-    fixed = lambda c: F.format_string("%.4f", F.col(c))
+    fixed = lambda c: fixed_text(F.col(c))
     node = t.node.select(MAP, F.lit(0).alias("part"), F.col("node_id").cast("string").alias("id"), F.concat(F.lit("<node"), _attr("id", F.col("node_id")), F.lit(' visible="true" version="1" lat="" lon="">'), _tags(tag_map(local_x=fixed("x"), local_y=fixed("y"), ele=F.when(F.col("ele").isNotNull(), fixed("ele")))), F.lit("</node>")).alias("xml"))
     node = node.withColumn("ord", F.coalesce(F.col("id").try_cast("bigint"), F.lit(0)))
     nd = t.way_node.groupBy(MAP, "way_id").agg(F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("seq", "node_id"))), lambda s: F.concat(F.lit("<nd"), _attr("ref", s["node_id"]), F.lit("/>")))).alias("nds"))

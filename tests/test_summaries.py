@@ -59,3 +59,8 @@ def test_nearest_segment_far_and_long(spark):
     pts = [("m", 1, 6.0, 1.0), ("m", 2, -4e5, 0.0), ("m", 3, 5e4, 5e4 + 2), ("n", 4, 3.0, 4.0), ("none", 5, 0.0, 0.0), ("m", 6, None, 0.0)]
     got = {r.point_id: r.dist for r in nearest_segment(spark.createDataFrame(pts, "map_id string, point_id long, px double, py double"), spark.createDataFrame(seg, "map_id string, ax double, ay double, bx double, by double"), 5.0).collect()}
     assert got == {1: pytest.approx(1.0), 2: pytest.approx(4e5), 3: pytest.approx(2**0.5), 4: pytest.approx(5.0), 5: float("inf"), 6: float("inf")}
+
+
+def test_fixed_text(spark):
+    df = spark.createDataFrame([(-281.04245,), (0.00005,), (2.5,), (None,), (-0.00001,)], "v double")
+    assert [r[0] for r in df.select(W.fixed_text("v")).collect()] == ["-281.0424", "0.0001", "2.5000", None, "-0.0000"]
