@@ -216,3 +216,17 @@ def test_reach(spark):
 
 def test_planview_names_are_used():
     assert V.to_map(1.0, 2.0, np.pi / 2, 3.0, 0.0) == pytest.approx((1.0, 5.0))
+
+
+def test_overlaps_of_lanelets_with_stray_ends(spark):
+    """Lanelets thousands of kilometres wide, which no grid of cells can hold, and sides that lie on one tilted line."""
+    pts = lambda ps: [(float(x), float(y)) for x, y in ps]
+    schema = "map_id string, rel_id string, lp array<struct<x double, y double>>, rp array<struct<x double, y double>>"
+    wide = (pts([(0, 0), (10, 0), (2e6, 2e6)]), pts([(0, 5), (10, 5), (2e6, 2e6 + 5)]))
+    one = spark.createDataFrame([("m", "a", *wide), ("m", "b", pts([(20, -50), (30, -50)]), pts([(20, -49), (30, -49)])), ("n", "c", *wide)], schema)
+    two = spark.createDataFrame([("m", "k", *wide), ("m", "l", pts([(25, -50), (30, -50)]), pts([(25, -49), (30, -49)]))], schema)
+    assert [(r["rel_id"], round(r["iou"], 6)) for r in D.best_overlaps(one, two).orderBy("rel_id").collect()] == [("a", 1.0), ("b", 0.5), ("c", 0.0)]
+    at = lambda s, t: [2000 + s * np.cos(0.7) - t * np.sin(0.7), 2000 + s * np.sin(0.7) + t * np.cos(0.7)]
+    line = lambda ss, t: np.array([at(s, t) for s in ss])
+    for k in range(1, 40):
+        assert D.strip_iou(line((0, 7, 1000), 0), line((0, 3 + k, 1000), 1), line((k, 300, 1000 + k), 0), line((k, 77, 1000 + k), 1)) == pytest.approx((1000 - k) / (1000 + k), rel=1e-7)
