@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,8 @@ from roadloom import model as M
 
 _DOUBLE = T.DoubleType()
 POINTS = T.ArrayType(T.StructType([T.StructField("x", _DOUBLE), T.StructField("y", _DOUBLE)]))
+#: Points that are made at once.
+PORTION = 1 << 18
 PAIR = T.StructType([T.StructField("a", POINTS), T.StructField("b", POINTS)])
 
 
@@ -60,6 +63,25 @@ def resample(x: np.ndarray, y: np.ndarray, bounds: np.ndarray, parts: np.ndarray
     return x[j] + t * (x[nxt] - x[j]), y[j] + t * (y[nxt] - y[j]), out
 
 
+def portions(counts: np.ndarray, most: int = PORTION) -> list[tuple[int, int]]:
+    """Bounds of runs of polylines of together at most ``most`` points, or of a single one: polylines differ in length by
+    many times, so a number of them says nothing about the memory that their points take."""
+    ends = np.cumsum(counts)
+    out, start = [], 0
+    while start < len(counts):
+        done = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, done + most, side="right")))
+        out.append((start, end))
+        start = end
+    return out
+
+
+def cut(x: np.ndarray, y: np.ndarray, bounds: np.ndarray, start: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The polylines from start to end of a batch."""
+    own = slice(bounds[start], bounds[end])
+    return x[own], y[own], bounds[start : end + 1] - bounds[start]
+
+
 def sample_count(pts: Column, n: int) -> Column:
     """n points evenly spaced by arc length, the ends kept."""
 
@@ -82,14 +104,20 @@ def sample_step(pts: Column, step: float) -> Column:
     return run(pts)
 
 
+def shared_batches(batches: Iterator[tuple[pa.Array, pa.Array]], step: float, least: int) -> Iterator[pa.Array]:
+    for p, q in batches:
+        one, two = _flat(p), _flat(q)
+        parts = np.maximum(least, np.ceil(np.maximum(lengths(*one)[1], lengths(*two)[1]) / step).astype(int) + 1) - 1
+        for s, e in portions(2 * parts):
+            yield pa.StructArray.from_arrays([_packed(*resample(*cut(*line, s, e), parts[s:e])) for line in (one, two)], ["a", "b"])
+
+
 def sample_shared(a: Column, b: Column, step: float, least: int = 3) -> tuple[Column, Column]:
     """Both boundaries at one shared number of points: enough for ``step`` on the longer one, at least ``least``."""
 
     @F.arrow_udf(PAIR)
-    def run(p: pa.Array, q: pa.Array) -> pa.Array:
-        one, two = _flat(p), _flat(q)
-        parts = np.maximum(least, np.ceil(np.maximum(lengths(*one)[1], lengths(*two)[1]) / step).astype(int) + 1) - 1
-        return pa.StructArray.from_arrays([_packed(*resample(*one, parts)), _packed(*resample(*two, parts))], ["a", "b"])
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        return shared_batches(batches, step, least)
 
     both = run(a, b)
     return both["a"], both["b"]

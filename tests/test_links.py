@@ -230,3 +230,18 @@ def test_overlaps_of_lanelets_with_stray_ends(spark):
     line = lambda ss, t: np.array([at(s, t) for s in ss])
     for k in range(1, 40):
         assert D.strip_iou(line((0, 7, 1000), 0), line((0, 3 + k, 1000), 1), line((k, 300, 1000 + k), 0), line((k, 77, 1000 + k), 1)) == pytest.approx((1000 - k) / (1000 + k), rel=1e-7)
+
+
+def test_samples_are_made_in_portions(spark, monkeypatch):
+    """Long polylines: no more points at once than a portion holds, or one polyline; the points are the same."""
+    assert R.portions(np.array([5, 5, 30, 1, 1]), 10) == [(0, 2), (2, 3), (3, 5)] and R.portions(np.array([], int)) == []
+    most, plain = [], R.resample
+    monkeypatch.setattr(R, "resample", lambda x, y, b, parts: most.append(int(parts.sum())) or plain(x, y, b, parts))
+    lines = [[{"x": 0.0, "y": 0.0}, {"x": float(n), "y": 0.0}] for n in (200_000, 3, 150_000, 100_000, 0)]
+    pts = R.pa.array(lines, R.pa.list_(R.pa.struct([("x", R.pa.float64()), ("y", R.pa.float64())])))
+    both = list(R.shared_batches(iter([(pts, pts)]), 1.0, 3))
+    assert [len(p["a"]) for g in both for p in g.to_pylist()] == [200_001, 4, 150_001, 100_001, 3] and max(most) <= R.PORTION
+    df = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "i int, pts array<struct<x:double,y:double>>").coalesce(1)
+    a, b = R.sample_shared(F.col("pts"), F.col("pts"), 1.0)
+    found = df.select("i", F.size(a), F.element_at(b, -1)["x"]).orderBy("i").collect()
+    assert [tuple(r)[1:] for r in found] == [(200_001, 200_000.0), (4, 3.0), (150_001, 150_000.0), (100_001, 100_000.0), (3, 0.0)]
