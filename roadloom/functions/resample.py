@@ -93,13 +93,20 @@ def sample_count(pts: Column, n: int) -> Column:
     return run(pts)
 
 
+def step_batches(batches: Iterator[pa.Array], step: float) -> Iterator[pa.Array]:
+    for p in batches:
+        x, y, b = _flat(p)
+        parts = np.maximum(1, np.rint(lengths(x, y, b)[1] / step)).astype(int)
+        for s, e in portions(parts):
+            yield _packed(*resample(*cut(x, y, b, s, e), parts[s:e]))
+
+
 def sample_step(pts: Column, step: float) -> Column:
     """Points about ``step`` apart: the length over the step, rounded half to even, parts of equal length, at least one."""
 
     @F.arrow_udf(POINTS)
-    def run(p: pa.Array) -> pa.Array:
-        x, y, b = _flat(p)
-        return _packed(*resample(x, y, b, np.maximum(1, np.rint(lengths(x, y, b)[1] / step)).astype(int)))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return step_batches(batches, step)
 
     return run(pts)
 

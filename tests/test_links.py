@@ -239,9 +239,11 @@ def test_samples_are_made_in_portions(spark, monkeypatch):
     monkeypatch.setattr(R, "resample", lambda x, y, b, parts: most.append(int(parts.sum())) or plain(x, y, b, parts))
     lines = [[{"x": 0.0, "y": 0.0}, {"x": float(n), "y": 0.0}] for n in (200_000, 3, 150_000, 100_000, 0)]
     pts = R.pa.array(lines, R.pa.list_(R.pa.struct([("x", R.pa.float64()), ("y", R.pa.float64())])))
+    got = list(R.step_batches(iter([pts]), 1.0))
+    assert [len(p) for g in got for p in g] == [200_001, 4, 150_001, 100_001, 2] and max(most) <= R.PORTION and len(got) == 2
     both = list(R.shared_batches(iter([(pts, pts)]), 1.0, 3))
     assert [len(p["a"]) for g in both for p in g.to_pylist()] == [200_001, 4, 150_001, 100_001, 3] and max(most) <= R.PORTION
     df = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "i int, pts array<struct<x:double,y:double>>").coalesce(1)
     a, b = R.sample_shared(F.col("pts"), F.col("pts"), 1.0)
-    found = df.select("i", F.size(a), F.element_at(b, -1)["x"]).orderBy("i").collect()
-    assert [tuple(r)[1:] for r in found] == [(200_001, 200_000.0), (4, 3.0), (150_001, 150_000.0), (100_001, 100_000.0), (3, 0.0)]
+    found = df.select("i", F.size(R.sample_step(F.col("pts"), 1.0)), F.size(a), F.element_at(b, -1)["x"]).orderBy("i").collect()
+    assert [tuple(r)[1:] for r in found] == [(200_001, 200_001, 200_000.0), (4, 4, 3.0), (150_001, 150_001, 150_000.0), (100_001, 100_001, 100_000.0), (2, 3, 0.0)]
