@@ -191,9 +191,26 @@ def widened(mask: np.ndarray, run: np.ndarray, radius: float) -> np.ndarray:
     return np.minimum(before, after) <= radius
 
 
+def _stepped_at_bends(x: np.ndarray, y: np.ndarray, step: float, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """The resampled polyline without the points that lie further than ``reach`` along the line from all given ones: they
+    stand on straights, which become one long segment."""
+    run, total = lengths(x, y, np.array([0, len(x)]))
+    parts = int(max(1, np.rint(total[0] / step))) if len(x) else 1
+    near = math.ceil(reach / step) + 2
+    if parts <= 4 * near * len(x):
+        return _stepped(x, y, step)
+    k = np.unique(np.clip(np.floor(run * parts / total[0]).astype(int)[:, None] + np.arange(-near, near + 2), 0, parts))
+    at = total[0] * k / parts
+    j = np.clip(np.searchsorted(run, at, side="left") - 1, 0, len(x) - 2)
+    seg = run[j + 1] - run[j]
+    t = np.clip(np.divide(at - run[j], seg, out=np.zeros_like(at), where=seg > 0), 0, 1)
+    return x[j] + t * (x[j + 1] - x[j]), y[j] + t * (y[j + 1] - y[j])
+
+
 def local_limits(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Segment lengths on the resampled polyline and the piece length allowed at each."""
-    x, y = _stepped(x, y, M.RESAMPLE_STEP)
+    """Segment lengths on the resampled polyline and the piece length allowed at each. A segment is curved by what turns
+    within two windows of it, so the inside of a longer straight is one segment."""
+    x, y = _stepped_at_bends(x, y, M.RESAMPLE_STEP, 2 * M.CURVE_WINDOW + 4 * M.RESAMPLE_STEP)
     if len(x) < 2:
         return np.zeros(0), np.zeros(0)
     run, turn = _turning(x, y)

@@ -247,3 +247,21 @@ def test_samples_are_made_in_portions(spark, monkeypatch):
     a, b = R.sample_shared(F.col("pts"), F.col("pts"), 1.0)
     found = df.select("i", F.size(R.sample_step(F.col("pts"), 1.0)), F.size(a), F.element_at(b, -1)["x"]).orderBy("i").collect()
     assert [tuple(r)[1:] for r in found] == [(200_001, 200_001, 200_000.0), (4, 4, 3.0), (150_001, 150_001, 150_000.0), (100_001, 100_001, 100_000.0), (2, 3, 0.0)]
+
+
+def test_long_straights_are_not_sampled(monkeypatch):
+    """Demand of ways with stray ends: the same as with a point every metre, from few points."""
+    rng = np.random.default_rng(5)
+
+    def whole(x, y, step, reach):
+        return R._stepped(x, y, step)
+
+    for k in range(30):
+        x, y = np.cumsum(rng.random((2, 12)) * 8, 1)
+        x[rng.integers(12)] += 10.0 ** rng.integers(3, 6)
+        y[rng.integers(12)] -= 9000.0 * (k % 3)
+        assert len(R.local_limits(x, y)[0]) < 3000
+        got = R.cut_demand(x, y)
+        with monkeypatch.context() as m:
+            m.setattr(R, "_stepped_at_bends", whole)
+            assert np.allclose(got, R.cut_demand(x, y), rtol=1e-9)
