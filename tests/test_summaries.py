@@ -1,12 +1,16 @@
 import json
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from roadloom.operators import summaries as S
 from roadloom.operators.fidelity import nearest_segment
+from roadloom.operators.maptables import MapTables
 from roadloom.operators.skew import numbered
 from roadloom.sinks import writers as W
 from roadloom.sources.osm_xml import osm_tables, read_osm
+from roadloom.storage import Scratch
 from tests.conftest import rows
 
 
@@ -64,3 +68,34 @@ def test_nearest_segment_far_and_long(spark):
 def test_fixed_text(spark):
     df = spark.createDataFrame([(-281.04245,), (0.00005,), (2.5,), (None,), (-0.00001,)], "v double")
     assert [r[0] for r in df.select(W.fixed_text("v")).collect()] == ["-281.0424", "0.0001", "2.5000", None, "-0.0000"]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_nearest_segment_sends_few_probes(spark, monkeypatch):
+    """Many points times many sizes of segments: their probes are no broadcast, though the points' file is small."""
+    plans, save = {}, Scratch.save
+    monkeypatch.setattr(Scratch, "save", lambda self, df, name: plans.update({name: plan_of(df)}) or save(self, df, name))
+    rng = np.random.default_rng(1)
+    seg = np.array([(0.0, -30.0 * k, 20.0 * 2**k, -30.0 * k) for k in range(12)])
+    at = np.r_[rng.random((1200, 2)) * [2000, 1.0] - [0, 300], [[-500.0, 0.0]]]
+    pts = spark.createDataFrame([("m", i, float(x), float(y)) for i, (x, y) in enumerate(at)], "map_id string, point_id long, px double, py double")
+    got = nearest_segment(pts, spark.createDataFrame([("m", *map(float, s)) for s in seg], "map_id string, ax double, ay double, bx double, by double"), 5.0).collect()
+    beside = np.maximum(np.maximum(seg[None, :, 0] - at[:, :1], at[:, :1] - seg[None, :, 2]), 0)
+    want = np.hypot(beside, at[:, 1:] - seg[None, :, 1]).min(1)
+    assert len(got) == len(at) and all(r.dist == pytest.approx(want[r.point_id]) for r in got)
+    assert "SortMergeJoin" in plans["near-0"] and "Broadcast" not in plans["near-0"]
+    assert "BroadcastHashJoin" in plans[max((n for n in plans if n.startswith("near-")), key=lambda n: int(n[5:]))]
+
+
+def test_polylines_send_no_refs(spark, tmp_path):
+    """Refs are many more rows than the ways whose file Spark estimates them by; they are no broadcast."""
+    spark.createDataFrame([("m", 1, [3, 1, 2]), ("m", 2, [2, 9])], "map_id string, way_id long, nd array<long>").write.parquet(str(tmp_path / "way"))
+    spark.createDataFrame([("m", k, float(k), 0.0, 0.0) for k in (1, 2, 3)], "map_id string, node_id long, x double, y double, ele double").write.parquet(str(tmp_path / "node"))
+    way = spark.read.parquet(str(tmp_path / "way"))
+    refs = way.select("map_id", "way_id", F.posexplode("nd").alias("seq", "node_id"))
+    lines = MapTables(spark.read.parquet(str(tmp_path / "node")), way, refs, None, None).polylines
+    assert {r.way_id: [p.x for p in r.pts] for r in lines.collect()} == {1: [3.0, 1.0, 2.0], 2: [2.0]}
+    assert "SortMergeJoin" in plan_of(lines) and "Broadcast" not in plan_of(lines)
