@@ -27,11 +27,22 @@ def _loaded():
     return F.col("loaded_at").cast("timestamp_ntz")
 
 
+def _standing(of: Column | None = None, tag: str = "") -> tuple[list[Column], Column]:
+    """Aggregates ``first_at`` and ``last_at`` (and helpers) over a record's rows, or over those that ``of`` names, and
+    ``deleted`` of the greatest (last_at, deleted), nulls least, from them. Each is a minimum or maximum of a plain
+    column, which Spark aggregates by hash; for a maximum of structs it would sort all rows."""
+    of = F.lit(True) if of is None else of
+    aggs = {"first_at": F.min(F.when(of, F.col("first_at"))), "last_at": F.max(F.when(of, F.col("last_at"))), "any": F.max(F.when(of, F.col("deleted")))}
+    aggs |= {k: F.max(F.when(of & on, F.col("last_at"))) for k, on in (("gone", F.col("deleted")), ("here", ~F.col("deleted")))}
+    last, every, gone, here = (F.col(tag + k) for k in ("last_at", "any", "gone", "here"))
+    return [a.alias(tag + k) for k, a in aggs.items()], F.when(last.isNull(), every).when(gone == last, True).when(here == last, False)
+
+
 def fold_parents(rows: DataFrame) -> DataFrame:
     """One row per record: its first and last load and whether the current row is deleted. Folding folded rows again
     is allowed: minimum and maximum make the state mergeable in any order, which late files need."""
-    best = F.max(F.struct("last_at", "deleted")).alias("_b")
-    return rows.groupBy(*PARENT).agg(F.min("first_at").alias("first_at"), best).select(*PARENT, "first_at", "_b.last_at", "_b.deleted")
+    aggs, deleted = _standing()
+    return rows.groupBy(*PARENT).agg(*aggs).select(*PARENT, "first_at", "last_at", deleted.alias("deleted"))
 
 
 def reason() -> Column:
@@ -106,12 +117,14 @@ class ReferenceLedger:
         if batch is not None and self.batch is not None and batch <= self.batch:
             return
         first, self.step = not self.live, self.step + 1
-        parents = fold_parents(new_parents.select(*_names(PARENT_SCHEMA)))
+        parents = new_parents.select(*_names(PARENT_SCHEMA))
         refs = current_rows(new_refs.select(*_names(REF_SCHEMA)), REF)
         own = set() if first else self._in(new_parents)
         which = set() if first else {r[0] for r in new_refs.select(self._bucket(*REF)).distinct().collect()}
         uses = self._begin(parents, refs) if first else self._follow(parents, refs, own, which)
-        # what each reference was and is now; a replaced version and its successor are one change
+        # what each reference was and is now; a replaced version and its successor are one change. A row that neither was
+        # nor is an orphan adds nothing to it
+        uses = uses.where("was is not null or live and reason is not null")
         one = F.max(F.struct("live", *_names(REF_SCHEMA)[2:], F.when(F.col("live"), F.col("reason")).alias("reason"))).alias("_b")
         change = uses.withColumn("was_month", F.when(F.col("was").isNotNull(), _month())).groupBy(*REF).agg(one, F.max("was").alias("was"), F.max("was_month").alias("was_month"), F.count("*").alias("_n"))
         change = change.select(*REF, *[F.col(f"_b.{c}").alias(c) for c in (*_names(REF_SCHEMA)[2:], "reason")], "was", "was_month", "_n")
@@ -131,7 +144,7 @@ class ReferenceLedger:
 
     def _begin(self, parents: DataFrame, refs: DataFrame) -> DataFrame:
         """The first step: nothing is known, so all references probe all records."""
-        known = self._add(parents, "parents", PARENT)
+        known = self._add(fold_parents(parents), "parents", PARENT)
         won = self._add(refs, "refs", REF).where("kind is not null")
         judged = relay_join(won, known.select(*PARENT, "first_at", "deleted"), PARENT, F.col("ref_id"))
         return self._add(judged.select(*_names(REF_SCHEMA), reason().alias("reason"), F.lit(None).cast("string").alias("was"), F.lit(True).alias("live")), "uses", PARENT, REF)
@@ -139,14 +152,16 @@ class ReferenceLedger:
     def _follow(self, parents: DataFrame, refs: DataFrame, own: set[int], which: set[int]) -> DataFrame:
         """A later step: reads of the state only the buckets that its keys fall into (``own`` by record, ``which`` by
         reference)."""
-        # records: what arrived, merged with what is known of the same keys, and whether they stand differently now
-        before = fold_parents(self._state("parents", PARENT_SCHEMA, own).join(parents.select(*PARENT), PARENT, "left_semi").drop("step"))
-        was = before.select(*PARENT, F.struct("first_at", "deleted").alias("_was"))
-        merged = fold_parents(parents.unionByName(before)).join(was, PARENT, "left")
-        changed = F.col("_was").isNull() | ~F.col("_was").eqNullSafe(F.struct("first_at", "deleted"))
+        # records: what arrived, merged with what is known of the same keys, and whether they stand differently now; one
+        # pass over both
+        every = parents.withColumn("_new", F.lit(True)).unionByName(self._state("parents", PARENT_SCHEMA, own).drop("step").withColumn("_new", F.lit(False)))
+        (now, deleted), (before, was_deleted) = _standing(), _standing(~F.col("_new"), "was_")
+        merged = every.groupBy(*PARENT).agg(*now, *before, F.max("_new").alias("_came"), F.min("_new").alias("_first")).where("_came").withColumn("deleted", deleted)
+        changed = F.col("_first") | ~F.struct("first_at", "deleted").eqNullSafe(F.struct(F.col("was_first_at").alias("first_at"), was_deleted.alias("deleted")))
         stands = self._add(merged.select(*_names(PARENT_SCHEMA), changed.alias("changed")), "parents", PARENT)
         # references: the versions that are newer than the one known, each with the one it replaces
-        had = current_rows(self._state("refs", REF_SCHEMA, which).drop("step"), REF)
+        had = self._state("refs", REF_SCHEMA, which).drop("step")
+        had = current_rows(had, REF) if self._parts("refs") > 1 else had
         version = lambda t: F.struct(*[F.col(f"{t}.{c}") for c in _names(REF_SCHEMA)[2:]])
         meet = refs.alias("a").join(had.withColumn("there", F.lit(True)).alias("h"), _same("a", "h", REF), "left").where(F.col("h.there").isNull() | (version("a") > version("h")))
         old = F.when(F.col("h.there"), F.struct(*[F.col(f"h.{c}").alias(c) for c in _names(REF_SCHEMA)]))
@@ -154,16 +169,24 @@ class ReferenceLedger:
         # uses: the references that rest on changed records or wait for them, and the versions that are replaced
         gone = won.where("old is not null").select("old.*").where("kind is not null")
         leave = self._in(gone)
-        latest = self._latest(self._state("uses", _USES, own | leave), [*REF, "loaded_at", *PARENT]).where("live")
-        rest = relay_join(latest, stands.where("changed").select(*PARENT, F.lit(True).alias("_hit")), PARENT, F.col("ref_id"))
+        latest = self._state("uses", _USES, own | leave)
+        latest = (self._latest(latest, [*REF, "loaded_at", *PARENT]) if self._parts("uses") > 1 else latest.drop("step")).where("live")
+        rest = relay_join(latest, stands.where("changed").select(*PARENT, "first_at", "deleted", F.lit(True).alias("_hit")), PARENT, F.col("ref_id"))
+        # those that a changed record hits are judged by it, those that only leave need no reason
+        rest = rest.withColumnRenamed("reason", "was").withColumn("reason", F.when(F.col("_hit"), reason()))
         rest = rest.alias("u").join(gone.select(*REF, "loaded_at", F.lit(True).alias("_gone")).alias("g"), _same("u", "g", [*REF, "loaded_at"]), "left")
-        rest = rest.where("_hit or _gone").select(*[F.col(f"u.{c}").alias(c) for c in _names(REF_SCHEMA)], F.col("u.reason").alias("was"), F.col("_gone").isNull().alias("live"))
-        fresh = won.where("kind is not null").select(*_names(REF_SCHEMA), F.lit(None).cast("string").alias("was"), F.lit(True).alias("live"))
-        # probing: the records of all of these, as they stand now
-        probe = own | leave | self._in(fresh)
+        rest = rest.where("_hit or _gone").select(*[F.col(f"u.{c}").alias(c) for c in (*_names(REF_SCHEMA), "reason", "was")], F.col("_gone").isNull().alias("live"))
+        # probing: the records that new versions refer to, as they stand now
+        fresh = won.where("kind is not null").select(*_names(REF_SCHEMA))
+        probe = self._in(fresh)
         known = fold_parents(self._state("parents", PARENT_SCHEMA, probe).drop("step").unionByName(self.store.read(PARENT_SCHEMA, "parents", str(self.step), probe)))
-        judged = relay_join(fresh.unionByName(rest), known.select(*PARENT, "first_at", "deleted"), PARENT, F.col("ref_id"))
-        return self._add(judged.select(*_names(REF_SCHEMA), reason().alias("reason"), "was", "live"), "uses", PARENT, REF)
+        judged = relay_join(fresh, known.select(*PARENT, "first_at", "deleted"), PARENT, F.col("ref_id"))
+        judged = judged.select(*_names(REF_SCHEMA), reason().alias("reason"), F.lit(None).cast("string").alias("was"), F.lit(True).alias("live"))
+        return self._add(judged.unionByName(rest), "uses", PARENT, REF)
+
+    def _parts(self, table: str) -> int:
+        """How many parts hold the changes of a table before this step. In each part a key occurs once."""
+        return sum(n != str(self.step) for n in self.live.get(table, []))
 
     def _latest(self, df: DataFrame, keys: list[str]) -> DataFrame:
         """Of the changes of each key the last."""

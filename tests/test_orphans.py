@@ -126,3 +126,44 @@ def test_null_keys(spark):
     want = [("osm_member", None, "missing", "2024-01"), ("osm_member", 3, "missing", "2024-01"), ("osm_member", 4, "missing", None)]
     for steps in (1, 3):
         assert rows(orphan_cases(spark, t, steps)) == sorted(want, key=str)
+
+
+def test_folding_is_by_hash_and_takes_the_greatest_row(spark):
+    from roadloom.operators.orphans import PARENT_SCHEMA, fold_parents
+
+    rng = random.Random(3)
+    data = [("way", 1, rng.randint(1, 60), rng.choice([None, *T[:3]]), rng.choice([None, *T[:3]]), rng.choice([True, False, None])) for _ in range(200)]
+    df = spark.createDataFrame(data, PARENT_SCHEMA).repartition(3)
+    want = {}
+    for key in {r[:3] for r in data}:
+        own = [r[3:] for r in data if r[:3] == key]
+        _, last, gone = max(own, key=lambda r: (r[1] is not None, r[1] or T[0], r[2] is not None, r[2] or False))
+        want[key] = (min((r[0] for r in own if r[0]), default=None), last, gone)
+    for got in (fold_parents(df), fold_parents(fold_parents(df).unionByName(df))):
+        assert {tuple(r[:3]): tuple(r[3:]) for r in got.collect()} == want
+    plan = fold_parents(df)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_a_later_step_reads_its_records_once(spark, monkeypatch):
+    from roadloom import storage
+    from roadloom.operators.orphans import map_parents, map_references
+
+    part = tables(spark, way=[(1, k, T[0], None) for k in range(9)], member=[(k, 1, "way", str(2 * k), T[1]) for k in range(9)])
+    ledger = ReferenceLedger(spark)
+    ledger.advance(map_parents(part), map_references(part))
+    reads, plans, real = {}, {}, storage.Tables.write
+
+    def write(self, df, table, name):
+        plan = df._jdf.queryExecution()
+        reads[table], plans[table] = plan.optimizedPlan().collectLeaves().size(), plan.executedPlan().toString()
+        real(self, df, table, name)
+
+    monkeypatch.setattr(storage.Tables, "write", write)
+    part = tables(spark, way=[(1, 2, T[5], T[5]), (1, 10, T[5], None)], member=[(3, 1, "way", "5", T[6]), (20, 1, "way", "99", T[6])])
+    ledger.advance(map_parents(part), map_references(part))
+    assert reads["parents"] <= 6  # five tables that arrive, one part of the state
+    assert "SortAggregate" not in plans["uses"]  # one part holds a use once
+    want = {1: "deleted", 5: "late", 6: "missing", 7: "missing", 8: "missing", 20: "missing"}
+    assert {r["ref_id"]: r["reason"] for r in ledger.cases().collect()} == want
+    assert sum(r["orphans"] for r in ledger.snapshot().collect()) == len(want)
