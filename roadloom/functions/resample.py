@@ -18,6 +18,7 @@ _DOUBLE = T.DoubleType()
 POINTS = T.ArrayType(T.StructType([T.StructField("x", _DOUBLE), T.StructField("y", _DOUBLE)]))
 #: Points that are made at once.
 PORTION = 1 << 18
+RUNS = T.ArrayType(T.StructType([T.StructField("lo", T.IntegerType()), T.StructField("hi", T.IntegerType()), T.StructField("v", _DOUBLE)]))
 PAIR = T.StructType([T.StructField("a", POINTS), T.StructField("b", POINTS)])
 
 
@@ -253,20 +254,69 @@ def max_turn(pts: Column) -> Column:
     return _window_turn(pts)
 
 
-@F.arrow_udf(T.ArrayType(_DOUBLE))
-def _demand(p: pa.Array) -> pa.Array:
-    x, y, b = _flat(p)
-    return pa.array([None if (d := cut_demand(x[s:e], y[s:e])) is None else d.tolist() for s, e in zip(b[:-1], b[1:])], pa.list_(pa.float64()))
+def runs(demand: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First sample, sample after the last, and value of every run of equal demand: straights and curves take turns, so
+    there are few."""
+    cut = np.flatnonzero(np.diff(demand)) + 1
+    first = np.r_[0, cut]
+    return first, np.r_[cut, len(demand)], demand[first]
+
+
+def greatest(lo: np.ndarray, hi: np.ndarray, v: np.ndarray, samples: int = M.CUT_SAMPLES) -> np.ndarray:
+    """The greatest value over each sample of runs that overlap."""
+    out = np.zeros(samples)
+    for k in np.argsort(v, kind="stable").tolist():
+        out[lo[k] : hi[k]] = v[k]
+    return out
+
+
+def _lists(parts: list[np.ndarray], values: pa.Array, none: list[bool]) -> pa.ListArray:
+    bounds = np.r_[0, np.cumsum([len(p) for p in parts])].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(bounds), values, mask=pa.array(none))
+
+
+def demand_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    none = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    for p in batches:
+        x, y, b = _flat(p)
+        for s, e in portions(np.full(len(b) - 1, M.CUT_SAMPLES)):
+            found = [cut_demand(x[b[i] : b[i + 1]], y[b[i] : b[i + 1]]) for i in range(s, e)]
+            lo, hi, v = zip(*(none if d is None else runs(d) for d in found))
+            flat = [pa.array(np.concatenate(lo), pa.int32()), pa.array(np.concatenate(hi), pa.int32()), pa.array(np.concatenate(v))]
+            yield _lists(lo, pa.StructArray.from_arrays(flat, ["lo", "hi", "v"]), [d is None for d in found])
 
 
 def demand(pts: Column) -> Column:
-    return _demand(pts)
+    """Runs (lo, hi, v) of ``cut_demand``. Called nondeterministic, or Spark puts a filter on it below joins and computes it
+    for all ways, and again for those that the join leaves."""
+
+    @F.arrow_udf(RUNS)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return demand_batches(batches)
+
+    return run.asNondeterministic()(pts)
 
 
-@F.arrow_udf(T.ArrayType(_DOUBLE))
-def _fractions(d: pa.Array) -> pa.Array:
-    return pa.array([cut_fractions(np.array(v)).tolist() if v else [] for v in d.to_pylist()], pa.list_(pa.float64()))
+def fraction_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for p in batches:
+        bounds = np.r_[0, np.cumsum(np.array(pa.compute.fill_null(pa.compute.list_value_length(p), 0)))]
+        flat = p.flatten()
+        lo, hi, v = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("lo", "hi", "v"))
+        held: list[np.ndarray] = []
+        made = 0
+        for s, e in zip(bounds[:-1], bounds[1:]):
+            held.append(cut_fractions(greatest(lo[s:e], hi[s:e], v[s:e])))
+            made += len(held[-1])
+            if made >= PORTION or e == bounds[-1]:
+                yield _lists(held, pa.array(np.concatenate(held)), [False] * len(held))
+                held, made = [], 0
 
 
 def fractions(demands: Column) -> Column:
-    return _fractions(demands)
+    """``cut_fractions`` of the greatest demand over runs."""
+
+    @F.arrow_udf(T.ArrayType(_DOUBLE))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return fraction_batches(batches)
+
+    return run.asNondeterministic()(demands)

@@ -6,8 +6,8 @@ from collections.abc import Iterator
 from dataclasses import replace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -158,9 +158,11 @@ def road_borders(t: MapTables) -> tuple[MapTables, DataFrame]:
     return replace(t, way=way), stats.join(twins, MAP, "left").fillna(0)
 
 
-def cut_line(refs: list, x: np.ndarray, y: np.ndarray, fractions: list[float], snap: float = M.SNAP) -> list[list[tuple]] | None:
-    """A way cut at fractions of its length: pieces of points, each (node,) or (node before, node after, t) for a new
-    one. A cut within ``snap`` of a point takes that point. None if that leaves fewer pieces than wanted.
+def cut_line(node: np.ndarray, x: np.ndarray, y: np.ndarray, fractions: np.ndarray, snap: float = M.SNAP) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+    """A way cut at fractions of its length, as arrays with an item per point of a piece: the piece, the number in it, the
+    place in the way of the point or of the one before it, that of the one after it (-1 for a point of the way), and how far
+    between them a new one stands. A cut within ``snap`` of a point takes that point. None if that leaves fewer pieces than
+    wanted. ``node`` has equal numbers for equal refs.
 
     All cuts are placed by one sorted search in the lengths along the way; a piece is then its two ends with the points
     between them.
@@ -169,37 +171,55 @@ def cut_line(refs: list, x: np.ndarray, y: np.ndarray, fractions: list[float], s
     last = len(along) - 1
     if last < 1 or not along[-1] > 0:
         return None
-    at = along[-1] * np.asarray(fractions, float)
+    at = along[-1] * fractions
     seg = np.minimum(np.searchsorted(along[1:] + 1e-9, at), last - 1)
     before, after = at - along[seg], along[seg + 1] - at
     share = before / np.where(before + after > 0, before + after, 1.0)
     share = np.select([np.abs(before) <= snap, (np.abs(after) <= snap) | (before + after <= 0)], [0.0, 1.0], share)
     # every cut as the points it stands at or between, and the first and last whole point on its two sides
-    marks = [(refs[i], refs[i + 1], float(t)) if 0 < t < 1 else (refs[i + int(t)],) for i, t in zip(seg.tolist(), share.tolist())]
-    ends = [(refs[0],), *marks, (refs[-1],)]
+    new = (share > 0) & (share < 1)
+    ends = np.r_[0, seg + (share >= 1), last], np.r_[-1, np.where(new, seg + 1, -1), -1], np.r_[-1.0, np.where(new, share, -1.0), -1.0]
     up = np.r_[1, np.where(share < 1, seg + 1, seg + 2)]
     down = np.r_[np.where(share > 0, seg, seg - 1), last - 1]
-    pieces = []
-    for k in range(len(ends) - 1):
-        points = [ends[k], *((refs[i],) for i in range(int(up[k]), int(down[k]) + 1)), ends[k + 1]]
-        pieces.append([q for i, q in enumerate(points) if not i or q != points[i - 1]])
-    return pieces if all(len(q) > 1 for q in pieces) else None
+    size = np.maximum(down - up + 1, 0) + 2
+    piece = np.repeat(np.arange(len(size)), size)
+    seq = np.arange(len(piece)) - (np.cumsum(size) - size)[piece]
+    tail = seq == size[piece] - 1
+    whole = ~tail & (seq > 0)
+    a, b, t = (np.where(whole, own, e[piece + tail]) for own, e in zip((up[piece] + seq - 1, -1, -1.0), ends))
+    na, nb = node[a], np.where(b < 0, -1, node[b])
+    keep = np.r_[True, (seq[1:] == 0) | (na[1:] != na[:-1]) | (nb[1:] != nb[:-1]) | (t[1:] != t[:-1])]
+    piece, a, b, t = piece[keep], a[keep], b[keep], t[keep]
+    size = np.bincount(piece, minlength=len(size))
+    return (piece, np.arange(len(piece)) - (np.cumsum(size) - size)[piece], a, b, t) if (size > 1).all() else None
 
 
 _CUT = "way_id string, ord bigint, component string, ok boolean, piece int, seq int, a string, b string, t double"
+#: Rows of pieces that are given on at once: a way with a stray end is cut into thousands.
+_CUT_ROWS = 1 << 16
+_WHOLE = tuple(np.array([v]) for v in (-1, -1, -1, -1, -1.0))
 
 
-def _cut_ways(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _cut_ways(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for df in batches:
-        rows: list[tuple] = []
-        for m, w, o, c, refs, xs, ys, fr in df.itertuples(index=False):
-            pieces = cut_line(list(refs), np.asarray(xs, float), np.asarray(ys, float), list(fr))
-            if pieces is None:
-                rows.append((m, w, o, c, False, None, None, None, None, None))
-            for k, piece in enumerate(pieces or ()):
-                for s, p in enumerate(piece):
-                    rows.append((m, w, o, c, True, k, s, p[0], p[1] if len(p) > 1 else None, p[2] if len(p) > 1 else None))
-        yield pd.DataFrame(rows, columns=["map_id", "way_id", "ord", "component", "ok", "piece", "seq", "a", "b", "t"])
+        flat = {c: df.column(c).flatten() for c in ("refs", "xs", "ys", "fractions")}
+        start, cuts = (np.r_[0, np.cumsum(np.array(pa.compute.list_value_length(df.column(c)), int))] for c in ("refs", "fractions"))
+        node = np.array(pa.compute.dictionary_encode(flat["refs"]).indices)
+        x, y, fr = (np.asarray(flat[c].to_numpy(zero_copy_only=False), float) for c in ("xs", "ys", "fractions"))
+        held: list[tuple[int, tuple[np.ndarray, ...]]] = []
+        rows = 0
+        for w in range(len(start) - 1):
+            own = slice(start[w], start[w + 1])
+            held.append((w, cut_line(node[own], x[own], y[own], fr[cuts[w] : cuts[w + 1]]) or _WHOLE))
+            rows += len(held[-1][1][0])
+            if rows >= _CUT_ROWS or w == len(start) - 2:
+                of = np.repeat([k for k, _ in held], [len(p[0]) for _, p in held])
+                piece, seq, a, b, t = (np.concatenate(c) for c in zip(*(p for _, p in held)))
+                fixed = [df.column(c).take(pa.array(of)) for c in ("map_id", "way_id", "ord", "component")]
+                number = [pa.array(v, pa.int32(), mask=piece < 0) for v in (piece, seq)]
+                name = [flat["refs"].take(pa.array(start[of] + i, mask=i < 0)) for i in (a, b)]
+                yield pa.RecordBatch.from_arrays([*fixed, pa.array(piece >= 0), *number, *name, pa.array(t, mask=b < 0)], names=["map_id", *(c.split()[0] for c in _CUT.split(", "))])
+                held, rows = [], 0
 
 
 def decouple(t: MapTables) -> tuple[MapTables, DataFrame]:
@@ -236,9 +256,10 @@ def cut_groups(t: MapTables) -> DataFrame:
     blocked = use.withColumn("component", F.coalesce("component", "node")).groupBy(MAP, "component").agg(F.bool_or("exempt").alias("blocked"))
     ways = use.where("component is not null").select(MAP, "way_id", "component").distinct().join(blocked.where("not blocked"), [MAP, "component"], "left_semi")
     xy = F.transform("pts", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
-    lines = ways.join(t.polylines, [MAP, "way_id"]).select(MAP, "way_id", "component", R.demand(xy).alias("d")).where("d is not null")
-    worst = lines.select(MAP, "component", F.posexplode("d").alias("i", "v")).groupBy(MAP, "component", "i").agg(F.max("v").alias("v"))
-    worst = worst.groupBy(MAP, "component").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda s: s["v"]).alias("d"))
+    lines = ways.join(t.polylines, [MAP, "way_id"]).select(MAP, "component", R.demand(xy).alias("d"))
+    # runs of samples, not samples: a component has no more of them than pairs of samples
+    worst = lines.select(MAP, "component", F.explode("d").alias("r")).groupBy(MAP, "component", F.col("r.lo").alias("lo"), F.col("r.hi").alias("hi")).agg(F.max("r.v").alias("v"))
+    worst = worst.groupBy(MAP, "component").agg(F.collect_list(F.struct("lo", "hi", "v")).alias("d"))
     return ways.join(worst.select(MAP, "component", R.fractions(F.col("d")).alias("fractions")).where(F.size("fractions") > 0), [MAP, "component"])
 
 
@@ -256,7 +277,7 @@ def split_lanelets(t: MapTables) -> tuple[MapTables, DataFrame]:
     groups = cut_groups(t)
     lines = groups.join(t.polylines, [MAP, "way_id"]).join(t.way.select(MAP, "way_id", "ord"), [MAP, "way_id"])
     args = lines.select(MAP, F.col("way_id").cast("string").alias("way_id"), "ord", "component", F.transform("pts", lambda p: p["node_id"].cast("string")).alias("refs"), F.transform("pts", lambda p: p["x"]).alias("xs"), F.transform("pts", lambda p: p["y"]).alias("ys"), "fractions")
-    cut = store.save(args.mapInPandas(_cut_ways, f"map_id {args.schema[MAP].dataType.simpleString()}, {_CUT}"), "cut")
+    cut = store.save(args.mapInArrow(_cut_ways, f"map_id {args.schema[MAP].dataType.simpleString()}, {_CUT}"), "cut")
     failed = cut.where("not ok").select(MAP, "component").distinct()
     cut = cut.where("ok").join(failed, [MAP, "component"], "left_anti")
     top = greatest_id(t)

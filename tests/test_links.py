@@ -3,6 +3,7 @@ import time
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from roadloom.functions import planview as V
 from roadloom.functions import resample as R
 from roadloom.operators import fidelity as D
 from roadloom.operators import links as L
+from roadloom.operators import passes as X
 from roadloom.operators.components import components
 from tests.conftest import rows
 
@@ -265,3 +267,72 @@ def test_long_straights_are_not_sampled(monkeypatch):
         with monkeypatch.context() as m:
             m.setattr(R, "_stepped_at_bends", whole)
             assert np.allclose(got, R.cut_demand(x, y), rtol=1e-9)
+
+
+def pieces_by_walk(refs, x, y, fractions, snap=0.1):
+    """Pieces of a way as lists of (a, b, t), one cut after the other."""
+    along = [0.0, *np.cumsum(np.hypot(np.diff(x), np.diff(y))).tolist()]
+    pieces, here = [], [(refs[0], None, None)]
+    done = 0
+    for f in [*fractions, None]:
+        at = along[-1] if f is None else f * along[-1]
+        i = next((i for i in range(len(refs) - 1) if along[i + 1] + 1e-9 >= at), len(refs) - 2)
+        t = (at - along[i]) / ((along[i + 1] - along[i]) or 1.0)
+        k = i if abs(at - along[i]) <= snap else i + 1 if abs(along[i + 1] - at) <= snap else None
+        mark, last = ((refs[i], refs[i + 1], t), i) if k is None else ((refs[k], None, None), k - 1)
+        if f is None:
+            mark, last = (refs[-1], None, None), len(refs) - 2
+        here += [(r, None, None) for r in refs[done + 1 : last + 1]] + [mark]
+        pieces.append([q for n, q in enumerate(here) if not n or q != here[n - 1]])
+        here, done = [mark], last if k is None and f is not None else last + 1
+    return pieces if all(len(q) > 1 for q in pieces) else None
+
+
+def test_pieces_are_made_in_portions(monkeypatch):
+    """Ways of thousands of cuts are given on bit by bit, whole, and as a walk along each way gives them."""
+    rng = np.random.default_rng(3)
+    ways = []
+    for k in range(60):
+        n = int(rng.integers(2, 9))
+        x, y = np.round(rng.random((2, n)) * (40 if k % 20 else 4000))
+        refs = [str(v) for v in rng.integers(0, 30, n)]
+        if k == 7:
+            refs, x, y = ["5", "6"], np.zeros(2), np.zeros(2)  # without length
+        if k == 8:
+            refs, x, y = ["5", "5", "6"], np.array([0.0, 0.0, 9.0]), np.zeros(3)
+        ways.append((1, str(k), k, "w", refs, x.tolist(), y.tolist(), (np.sort(rng.random(3)) if k % 20 else np.arange(1, 400) / 400).tolist()))
+    names = ["map_id", "way_id", "ord", "component", "refs", "xs", "ys", "fractions"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*ways)], names=names)
+    monkeypatch.setattr(X, "_CUT_ROWS", 200)
+    parts = list(X._cut_ways(iter([batch.slice(0, 30), batch.slice(30), batch.slice(0, 0)])))
+    assert len(parts) > 4 and 400 < max(p.num_rows for p in parts) < 200 + 900
+    got = pa.Table.from_batches(parts).to_pylist()
+    seen = 0
+    for _, w, _, _, refs, x, y, fractions in ways:
+        mine = [r for r in got if r["way_id"] == w]
+        want = pieces_by_walk(refs, np.array(x), np.array(y), fractions)
+        seen += want is not None
+        if want is None:
+            assert [(r["ok"], r["piece"], r["a"]) for r in mine] == [(False, None, None)], w
+        else:
+            flat = [(k, s, a, b) for k, piece in enumerate(want) for s, (a, b, _) in enumerate(piece)]
+            assert [(r["piece"], r["seq"], r["a"], r["b"]) for r in mine] == flat and all(r["ok"] for r in mine), w
+            assert np.allclose([r["t"] for r in mine if r["b"]], [t for piece in want for _, b, t in piece if b]), w
+    assert 20 < seen < 60
+
+
+def test_demand_is_carried_as_runs(spark):
+    """The greatest of runs is that of the samples; a way without length has none; each is computed once."""
+    rng = np.random.default_rng(4)
+    every = [np.cumsum(rng.random((2, 9)) * 60, 1) * (1, rng.random())[k % 2] for k in range(20)]
+    whole = [R.cut_demand(*line) for line in every]
+    lo, hi, v = map(np.concatenate, zip(*map(R.runs, whole)))
+    assert len(v) < 20 * 40 and np.array_equal(R.greatest(lo, hi, v), np.max(whole, axis=0))
+    lines = [(k, [dict(zip("xy", p)) for p in line.T.tolist()]) for k, line in enumerate(every)] + [(20, [{"x": 1.0, "y": 1.0}] * 2), (21, [])]
+    df = spark.createDataFrame(lines, "k int, pts array<struct<x: double, y: double>>")
+    demand = df.join(spark.range(30).withColumnRenamed("id", "k"), "k").select("k", R.demand(F.col("pts")).alias("d")).select("k", F.explode("d").alias("r"))
+    assert demand._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    found = demand.groupBy("k").agg(F.collect_list("r").alias("d")).select("k", R.fractions(F.col("d")).alias("f")).where(F.size("f") > 0)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 2
+    got = dict(map(tuple, found.collect()))
+    assert got == {k: f for k, d in enumerate(whole) if (f := R.cut_fractions(d).tolist())} and got
