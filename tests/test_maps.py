@@ -4,6 +4,7 @@ import pytest
 
 from roadloom.operators import map_checks as C
 from roadloom.operators import passes as X
+from roadloom.operators.components import components
 from roadloom.plans.pipeline import check_files, clean_map
 from roadloom.sinks import writers as W
 from roadloom.sources.osm_xml import osm_tables, read_osm
@@ -252,3 +253,11 @@ def test_repair_ends(spark, tmp_path):
     t, stats = X.repair_ends(osm_tables(read_osm(spark, str(tmp_path))))
     assert [tuple(r)[1:] for r in stats.collect()] == [(1, 2)]
     assert sorted((r["way_id"], r["n"]) for r in t.way_node.groupBy("way_id").agg({"*": "count"}).withColumnRenamed("count(1)", "n").collect()) == [("1", 2), ("2", 3), ("3", 3)]
+
+
+def test_written_maps_are_not_broadcast(spark, tmp_path):
+    good_map().save(tmp_path / "m.osm")
+    t = osm_tables(read_osm(spark, str(tmp_path))).saved(Scratch(spark, "t"), "m")
+    groups = components(t.sides.join(t.way.select("map_id", "way_id"), ["map_id", "way_id"]).select("map_id", "way_id", "rel_id"), "map_id", "way_id", "rel_id")
+    for df in (t.sides, t.sides.join(groups.withColumnRenamed("node", "way_id"), ["map_id", "way_id"])):
+        assert df.count() and "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
